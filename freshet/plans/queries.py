@@ -653,3 +653,223 @@ FROM staging_events WHERE loaded_at >= TIMESTAMP '{WINDOW_ASOF}' - INTERVAL '1'
           ("staging_events",))
 def q_processed_window(spark, d):
     return incremental.processed_window(_staging(spark, d), WINDOW_ASOF)
+
+
+# --------------------------------------------------------------- prevention controls
+
+from freshet.operators import controls  # noqa: E402
+
+MERGE_FROM = "2024-01-28 00:00:00"     # the re-delivered batch overlaps the target's last day and a half
+ANOMALY_FACTOR = 2.0
+RUNTIME_LIMIT_SECONDS = 300
+UNMATCHED_THRESHOLD = 0.05
+_BATCH_SQL = "concat('batch_', CAST(CAST({c} AS DATE) AS VARCHAR(10)))"
+
+
+@register("idempotent_batch_load", f"""
+SELECT s.*, {_BATCH_SQL.format(c='s.loaded_at')} AS batch_id FROM staging_events_dup s
+WHERE NOT EXISTS (SELECT 1 FROM load_audit a WHERE a.file_name = {_BATCH_SQL.format(c='s.loaded_at')})""",
+          ("staging_events_dup", "load_audit"))
+def q_idempotent_batch_load(spark, d):
+    return controls.idempotent_batch_load(T.staging_events_dup(spark, d), T.load_audit(spark, d))
+
+
+@register("merge_upsert", f"""
+WITH incoming AS (SELECT * FROM staging_events_dup WHERE event_timestamp >= TIMESTAMP '{MERGE_FROM}'),
+latest AS (SELECT * FROM incoming WHERE event_id IS NOT NULL
+  QUALIFY ROW_NUMBER() OVER (PARTITION BY event_id
+                             ORDER BY loaded_at DESC NULLS LAST, provider_id NULLS LAST, event_type NULLS LAST,
+                                      status NULLS LAST, event_timestamp NULLS LAST) = 1)
+SELECT * FROM target_events t WHERE NOT EXISTS (SELECT 1 FROM incoming i WHERE i.event_id = t.event_id)
+UNION ALL SELECT * FROM latest
+UNION ALL SELECT * FROM incoming WHERE event_id IS NULL""", ("staging_events_dup", "target_events"))
+def q_merge_upsert(spark, d):
+    from pyspark.sql import functions as F
+    incoming = T.staging_events_dup(spark, d).filter(
+        F.col("event_timestamp") >= F.lit(MERGE_FROM).cast("timestamp_ntz"))
+    return controls.merge_upsert(T.target_events(spark, d), incoming)
+
+
+@register("load_audit", f"""
+SELECT {_BATCH_SQL.format(c='loaded_at')} AS file_name, 'STAGING_EVENTS' AS table_name,
+       COUNT(*) AS row_count, COUNT(DISTINCT event_id) AS distinct_events,
+       COUNT(*) - COUNT(DISTINCT event_id) AS duplicate_rows,
+       MIN(loaded_at) AS first_load_time, MAX(loaded_at) AS last_load_time
+FROM staging_events_dup GROUP BY {_BATCH_SQL.format(c='loaded_at')}""", ("staging_events_dup",))
+def q_load_audit(spark, d):
+    return controls.load_audit_report(T.staging_events_dup(spark, d))
+
+
+@register("contract_report", """
+WITH b AS (SELECT COUNT(*) FILTER (WHERE event_id IS NULL) AS kn,
+                  COUNT(*) FILTER (WHERE provider_id IS NULL) AS fn,
+                  COUNT(*) FILTER (WHERE status IS NOT NULL AND status NOT IN ('APPROVED', 'COMPLETE', 'DENIED')) AS bs
+           FROM staging_events_dup),
+dk AS (SELECT COUNT(*) AS n FROM (SELECT event_id FROM staging_events_dup GROUP BY event_id HAVING COUNT(*) > 1)),
+o AS (SELECT COUNT(*) AS n FROM staging_events_dup e
+      WHERE e.provider_id IS NOT NULL
+        AND NOT EXISTS (SELECT 1 FROM dim_provider_lookup p WHERE p.provider_id = e.provider_id)),
+ty AS (SELECT CAST(typeof((SELECT MAX(provider_id) FROM staging_events_dup))
+                   <> typeof((SELECT MAX(provider_id) FROM provider_string_source)) AS BIGINT) AS n),
+r AS (
+  SELECT 'unique' AS rule, 'event_id' AS column_name, CAST(n AS BIGINT) AS violations FROM dk
+  UNION ALL SELECT 'not_null', 'event_id', CAST(kn AS BIGINT) FROM b
+  UNION ALL SELECT 'not_null', 'provider_id', CAST(fn AS BIGINT) FROM b
+  UNION ALL SELECT 'accepted_values', 'status', CAST(bs AS BIGINT) FROM b
+  UNION ALL SELECT 'relationship', 'provider_id', CAST(n AS BIGINT) FROM o
+  UNION ALL SELECT 'same_type', 'provider_id', n FROM ty)
+SELECT rule, column_name, violations, violations = 0 AS passed FROM r""",
+          ("staging_events_dup", "dim_provider_lookup", "provider_string_source"))
+def q_contract_report(spark, d):
+    return controls.contract_report(T.staging_events_dup(spark, d), T.dim_provider_lookup(spark, d),
+                                    T.provider_string_source(spark, d))
+
+
+_MISSING_DAYS_CTES = """
+d AS (SELECT DISTINCT CAST(last_load_time AS DATE) AS load_date FROM load_audit WHERE last_load_time IS NOT NULL),
+r AS (SELECT MIN(load_date) AS lo, MAX(load_date) AS hi FROM d),
+cal AS (SELECT CAST(unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE)
+               AS missing_date
+        FROM r WHERE lo IS NOT NULL),
+missing AS (SELECT missing_date FROM cal WHERE NOT EXISTS (SELECT 1 FROM d WHERE d.load_date = cal.missing_date))"""
+
+
+@register("missing_load_days", f"WITH {_MISSING_DAYS_CTES} SELECT missing_date FROM missing ORDER BY missing_date",
+          ("load_audit",))
+def q_missing_load_days(spark, d):
+    return controls.missing_load_days(T.load_audit(spark, d))
+
+
+@register("missing_files", f"""
+SELECT DISTINCT {_BATCH_SQL.format(c='e.loaded_at')} AS file_name FROM staging_events e
+WHERE e.loaded_at IS NOT NULL
+  AND NOT EXISTS (SELECT 1 FROM load_audit a WHERE a.file_name = {_BATCH_SQL.format(c='e.loaded_at')})
+ORDER BY file_name""", ("staging_events", "load_audit"))
+def q_missing_files(spark, d):
+    expected = _staging(spark, d).select(controls.batch_id().alias("file_name"))
+    return controls.missing_files(expected, T.load_audit(spark, d))
+
+
+_DAILY_LOADS = "daily AS (SELECT CAST(loaded_at AS DATE) AS load_date, COUNT(*) AS row_count FROM staging_events_dup GROUP BY 1)"
+
+
+@register("row_growth", f"""
+WITH {_DAILY_LOADS}
+SELECT d.load_date, d.row_count, p.row_count AS prior_row_count, d.row_count - p.row_count AS row_change,
+       CAST(d.row_count - p.row_count AS DOUBLE) / p.row_count AS change_ratio
+FROM daily d LEFT JOIN daily p ON p.load_date + 1 = d.load_date ORDER BY d.load_date""", ("staging_events_dup",))
+def q_row_growth(spark, d):
+    return controls.row_growth(T.staging_events_dup(spark, d))
+
+
+@register("unmatched_rate", f"""
+WITH m AS (SELECT COUNT(*) AS total_events, COUNT(p.provider_id) AS matched_events,
+                  COUNT(*) - COUNT(p.provider_id) AS unmatched_events
+           FROM staging_events e LEFT JOIN stg_provider p ON e.provider_id = p.provider_id),
+r AS (SELECT *, CASE WHEN total_events > 0 THEN CAST(unmatched_events AS DOUBLE) / total_events END AS unmatched_rate
+      FROM m)
+SELECT *, COALESCE(unmatched_rate > {UNMATCHED_THRESHOLD}, false) AS breach FROM r""",
+          ("staging_events", "stg_provider"))
+def q_unmatched_rate(spark, d):
+    return controls.unmatched_rate(_staging(spark, d), keys.stg_provider(T.provider_string_source(spark, d)),
+                                   threshold=UNMATCHED_THRESHOLD)
+
+
+def _anomaly_sql(table: str, value: str, date_alias: str) -> str:
+    return f"""
+WITH daily AS (SELECT CAST(start_time AS DATE) AS {date_alias}, warehouse_name, SUM({value}) AS t
+               FROM {table} GROUP BY 1, 2),
+w AS (SELECT {date_alias}, warehouse_name, CAST(t AS DOUBLE) AS {value},
+             COUNT(t) OVER win AS prior_days, SUM(t) OVER win AS ps
+      FROM daily
+      WINDOW win AS (PARTITION BY warehouse_name ORDER BY date_diff('day', DATE '1970-01-01', {date_alias})
+                     RANGE BETWEEN 7 PRECEDING AND 1 PRECEDING)),
+a AS (SELECT {date_alias}, warehouse_name, {value}, prior_days,
+             CASE WHEN prior_days > 0 THEN CAST(ps AS DOUBLE) / prior_days END AS prior_avg FROM w)
+SELECT *, COALESCE({value} > {ANOMALY_FACTOR} * prior_avg, false) AS is_anomaly FROM a
+ORDER BY {date_alias}, warehouse_name"""
+
+
+@register("usage_anomalies", _anomaly_sql("warehouse_metering_history", "credits_used", "usage_date"),
+          ("warehouse_metering_history",))
+def q_usage_anomalies(spark, d):
+    return controls.usage_anomalies(T.warehouse_metering_history(spark, d), ANOMALY_FACTOR)
+
+
+@register("bytes_anomalies", _anomaly_sql("query_history", "bytes_scanned", "run_date"), ("query_history",))
+def q_bytes_anomalies(spark, d):
+    return controls.bytes_anomalies(T.query_history(spark, d), ANOMALY_FACTOR)
+
+
+@register("credit_quota_status", """
+WITH daily AS (SELECT CAST(start_time AS DATE) AS usage_date, warehouse_name, SUM(credits_used) AS c
+               FROM warehouse_metering_history GROUP BY 1, 2),
+m AS (SELECT CAST(date_trunc('month', usage_date) AS DATE) AS usage_month, usage_date, warehouse_name,
+             CAST(c AS DOUBLE) AS credits_used,
+             CAST(SUM(c) OVER (PARTITION BY warehouse_name, date_trunc('month', usage_date) ORDER BY usage_date
+                               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS month_to_date_credits
+      FROM daily),
+p AS (SELECT *, month_to_date_credits * CAST(100.0 AS DOUBLE) / CAST(100.0 AS DOUBLE) AS quota_used_pct FROM m),
+l AS (SELECT *, CASE WHEN quota_used_pct >= 100.0 THEN 100 WHEN quota_used_pct >= 90.0 THEN 90
+                     WHEN quota_used_pct >= 75.0 THEN 75 ELSE 0 END AS quota_level FROM p)
+SELECT *, CASE WHEN quota_level >= 100 THEN 'SUSPEND' WHEN quota_level > 0 THEN 'NOTIFY' ELSE 'NONE' END
+          AS quota_action
+FROM l ORDER BY usage_date, warehouse_name""", ("warehouse_metering_history",))
+def q_credit_quota_status(spark, d):
+    return controls.credit_quota_status(T.warehouse_metering_history(spark, d))
+
+
+@register("long_running_queries", f"""
+SELECT query_id, user_name, warehouse_name, start_time, total_elapsed_time FROM query_history
+WHERE total_elapsed_time > {RUNTIME_LIMIT_SECONDS * 1000} ORDER BY total_elapsed_time DESC, query_id""",
+          ("query_history",))
+def q_long_running_queries(spark, d):
+    return controls.long_running_queries(T.query_history(spark, d), RUNTIME_LIMIT_SECONDS)
+
+
+_CHECKLIST_SQL = f"""
+WITH lat AS (SELECT MAX(loaded_at) AS l FROM staging_events_dup),
+{_MISSING_DAYS_CTES.strip()},
+miss AS (SELECT CAST(COUNT(*) AS DOUBLE) AS m2 FROM missing),
+{_DAILY_LOADS},
+g AS (SELECT d1.load_date, d1.row_count AS rc, p.row_count AS prc
+      FROM daily d1 JOIN daily p ON p.load_date + 1 = d1.load_date),
+growth AS (SELECT CAST(max_by(rc, load_date) AS DOUBLE) / max_by(prc, load_date) AS m4 FROM g),
+pk AS (SELECT event_id, COUNT(*) AS n, COUNT(*) FILTER (WHERE provider_id IS NULL) AS nulls
+       FROM staging_events_dup GROUP BY event_id),
+k AS (SELECT CAST(COUNT(*) FILTER (WHERE n > 1) AS DOUBLE) AS m5, CAST(COALESCE(SUM(nulls), 0) AS DOUBLE) AS m6,
+             CAST(COALESCE(SUM(n - 1), 0) AS DOUBLE) AS m8, COALESCE(SUM(n), 0) AS total_rows FROM pk),
+inv AS (SELECT CAST(COUNT(*) AS DOUBLE) AS m7 FROM provider_string_source
+        WHERE TRY_CAST(TRY_CAST(TRIM(provider_id) AS DECIMAL(38,0)) AS BIGINT) IS NULL),
+cur AS (SELECT CAST(event_timestamp AS DATE) AS event_date, event_type, status, COUNT(*) AS event_count
+        FROM staging_events_dup GROUP BY 1, 2, 3),
+gr AS (SELECT COALESCE(SUM(event_count), 0) AS cs, COUNT(*) AS n_groups,
+              COUNT(DISTINCT struct_pack(event_date, event_type, status)) AS n_distinct FROM cur),
+an AS ({_anomaly_sql("warehouse_metering_history", "credits_used", "usage_date").replace("ORDER BY usage_date, warehouse_name", "")}),
+an_c AS (SELECT CAST(COUNT(*) FILTER (WHERE is_anomaly) AS DOUBLE) AS m10 FROM an
+         WHERE usage_date >= CAST(TIMESTAMP '{FRESHNESS_ASOF}' - INTERVAL '1' DAY AS DATE)),
+rw AS (SELECT CASE WHEN l IS NULL THEN 0.0 ELSE 1.0 END AS m1, m2,
+              CASE WHEN l IS NULL THEN NULL
+                   ELSE (epoch_us(TIMESTAMP '{FRESHNESS_ASOF}') - epoch_us(l)) / 3.6e9 END AS m3,
+              m4, m5, m6, m7, m8,
+              CAST(cs - total_rows AS DOUBLE) + CAST(n_groups - n_distinct AS DOUBLE) AS m9, m10
+       FROM lat, miss, growth, k, inv, gr, an_c)
+SELECT 1 AS check_no, 'pipeline_ran' AS check_name, CAST(m1 AS DOUBLE) AS metric, COALESCE(m1 = 1, false) AS passed FROM rw
+UNION ALL SELECT 2, 'source_arrived', m2, COALESCE(m2 = 0, false) FROM rw
+UNION ALL SELECT 3, 'data_fresh', m3, COALESCE(m3 IS NOT NULL AND m3 <= 24.0, false) FROM rw
+UNION ALL SELECT 4, 'row_count_reasonable', m4, COALESCE(m4 IS NULL OR (m4 >= 0.5 AND m4 <= 2.0), false) FROM rw
+UNION ALL SELECT 5, 'keys_unique', m5, COALESCE(m5 = 0, false) FROM rw
+UNION ALL SELECT 6, 'no_null_keys', m6, COALESCE(m6 = 0, false) FROM rw
+UNION ALL SELECT 7, 'join_key_types_compatible', m7, COALESCE(m7 = 0, false) FROM rw
+UNION ALL SELECT 8, 'no_reprocessing', m8, COALESCE(m8 = 0, false) FROM rw
+UNION ALL SELECT 9, 'expected_grain', m9, COALESCE(m9 = 0, false) FROM rw
+UNION ALL SELECT 10, 'usage_stable', m10, COALESCE(m10 = 0, false) FROM rw"""
+
+
+@register("incident_checklist", _CHECKLIST_SQL,
+          ("staging_events_dup", "load_audit", "provider_string_source", "warehouse_metering_history"))
+def q_incident_checklist(spark, d):
+    staging = T.staging_events_dup(spark, d)
+    return controls.incident_checklist(
+        staging, baseline.curated_daily_events(staging), T.load_audit(spark, d), T.dim_provider_lookup(spark, d),
+        T.provider_string_source(spark, d), T.warehouse_metering_history(spark, d), FRESHNESS_ASOF)
