@@ -52,19 +52,19 @@ def orphan_events(events: DataFrame, dim: DataFrame, key: str = "provider_id") -
     return anti_join(events.select(key), key, distinct_keys_of(dim, key))
 
 
-def _key_profile(events: DataFrame, key: str, drop_null_inner: bool) -> DataFrame:
-    """One row per distinct inner key with its row count (NULL is one group)."""
+def _inner_keys(events: DataFrame, key: str, drop_null_inner: bool) -> DataFrame:
     inner = events.select(F.col(key).alias("_k"))
-    if drop_null_inner:
-        inner = inner.filter(F.col("_k").isNotNull())
-    return inner.groupBy("_k").agg(F.count(F.lit(1)).alias("_rows"))
+    return inner.filter(F.col("_k").isNotNull()) if drop_null_inner else inner
 
 
-def _inner_flags(profile: DataFrame) -> DataFrame:
-    """One row: number of distinct inner keys, and rows whose key is NULL."""
-    return profile.agg(F.count(F.lit(1)).alias("_n_keys"),
-                       F.coalesce(F.sum(F.when(F.col("_k").isNull(), F.col("_rows"))), F.lit(0))
-                        .cast("bigint").alias("_null_rows"))
+def _inner_flags(inner: DataFrame) -> DataFrame:
+    """One row: inner row count and inner rows whose key is NULL.
+
+    A global aggregate (one partial row per map task, no keyed shuffle), so
+    the keyed de-duplication feeding the anti join is computed only once.
+    """
+    return inner.agg(F.count(F.lit(1)).alias("_inner_rows"),
+                     F.count_if(F.col("_k").isNull()).alias("_null_rows"))
 
 
 def not_in_keys(dim: DataFrame, events: DataFrame, key: str = "provider_id",
@@ -75,10 +75,10 @@ def not_in_keys(dim: DataFrame, events: DataFrame, key: str = "provider_id",
     outer keys too); otherwise a NULL outer key, or any NULL in the
     subquery, makes the predicate UNKNOWN and the row is dropped.
     """
-    profile = _key_profile(events, key, drop_null_inner)
-    flags = F.broadcast(_inner_flags(profile))  # one row by construction
-    candidates = anti_join(dim.select(key), key, profile.select("_k"))
-    keep = (F.col("_n_keys") == 0) | ((F.col("_null_rows") == 0) & F.col(key).isNotNull())
+    inner = _inner_keys(events, key, drop_null_inner)
+    flags = F.broadcast(_inner_flags(inner))  # one row by construction
+    candidates = anti_join(dim.select(key), key, inner.distinct())
+    keep = (F.col("_inner_rows") == 0) | ((F.col("_null_rows") == 0) & F.col(key).isNotNull())
     return candidates.crossJoin(flags).filter(keep).select(key)
 
 
@@ -90,16 +90,16 @@ def not_in_non_null(dim: DataFrame, events: DataFrame, key: str = "provider_id")
 def exclusion_comparison(dim: DataFrame, events: DataFrame, key: str = "provider_id") -> DataFrame:
     """One row -- NOT IN count, NOT EXISTS count and NULL-key count side by side.
 
-    One scan of each table: the event key profile feeds both exclusions and
-    the NULL count.
+    The anti join is shared by both exclusions; the NULL count comes from the
+    same global aggregate that decides the NOT IN semantics.
     """
-    profile = _key_profile(events, key, drop_null_inner=False)
-    flags = _inner_flags(profile)
-    candidates = anti_join(dim.select(key), key, profile.select("_k"))
+    inner = _inner_keys(events, key, drop_null_inner=False)
+    flags = _inner_flags(inner)
+    candidates = anti_join(dim.select(key), key, inner.distinct())
     cand = candidates.agg(F.count(F.lit(1)).alias("not_exists_count"),
                           F.count_if(F.col(key).isNotNull()).alias("_cand_non_null"))
     return (cand.crossJoin(flags)
-                .select(F.when(F.col("_n_keys") == 0, F.col("not_exists_count"))
+                .select(F.when(F.col("_inner_rows") == 0, F.col("not_exists_count"))
                          .when(F.col("_null_rows") > 0, F.lit(0).cast("bigint"))
                          .otherwise(F.col("_cand_non_null")).alias("not_in_count"),
                         F.col("not_exists_count"),
