@@ -31,19 +31,26 @@ def row_count(df: DataFrame, alias: str = "total_rows") -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias(alias))
 
 
-def duplicate_keys(df: DataFrame, keys: str | Sequence[str] = "event_id",
-                   count_alias: str = "duplicate_count", min_count: int = 2) -> DataFrame:
-    """D3: keys that occur more than once, with their count (``HAVING COUNT(*) > 1``)."""
-    ks = _keys(keys)
+def _key_counts(df: DataFrame, ks: list[str], count_alias: str, min_count: int) -> DataFrame:
     return (df.groupBy(*ks)
               .agg(F.count(F.lit(1)).alias(count_alias))
-              .filter(F.col(count_alias) >= min_count)
-              .orderBy(*[F.asc_nulls_last(k) for k in ks]))
+              .filter(F.col(count_alias) >= min_count))
+
+
+def duplicate_keys(df: DataFrame, keys: str | Sequence[str] = "event_id",
+                   count_alias: str = "duplicate_count") -> DataFrame:
+    """D3: keys that occur more than once, with their count (``HAVING COUNT(*) > 1``), in key order."""
+    ks = _keys(keys)
+    return _key_counts(df, ks, count_alias, 2).orderBy(*[F.asc_nulls_last(k) for k in ks])
 
 
 def key_occurrences(df: DataFrame, keys: str | Sequence[str] = "event_id") -> DataFrame:
-    """The script's validation step (``HAVING COUNT(*) >= 1``): every key with its count."""
-    return duplicate_keys(df, keys, count_alias="occurrence_count", min_count=1)
+    """The script's validation step (``HAVING COUNT(*) >= 1``): every key with its count.
+
+    Unordered, as in the script: one row per key is as large as the table's
+    key set, so it is not globally sorted.
+    """
+    return _key_counts(df, _keys(keys), "occurrence_count", 1)
 
 
 def duplicate_details(df: DataFrame, key: str = "event_id", ts: str = "loaded_at") -> DataFrame:

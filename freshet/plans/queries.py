@@ -125,7 +125,7 @@ def q_duplication_extent(spark, d):
 
 @register("key_occurrences", """
 SELECT event_id, COUNT(*) AS occurrence_count FROM staging_events_dup
-GROUP BY event_id HAVING COUNT(*) >= 1 ORDER BY event_id""", ("staging_events_dup",))
+GROUP BY event_id HAVING COUNT(*) >= 1""", ("staging_events_dup",))
 def q_key_occurrences(spark, d):
     return duplicates.key_occurrences(T.staging_events_dup(spark, d))
 
