@@ -16,13 +16,15 @@ from pyspark.sql import functions as F
 
 from freshet.functions import asof_or_now, since
 from freshet.operators.duplicates import dedup_keep_first
-from freshet.operators.joins import anti_join, distinct_keys_of
+from freshet.operators.joins import anti_join, bounded_broadcast, distinct_keys_of
 from freshet.operators.keys import invalid_keys, match_rate
 
 # Event statuses the contract accepts, and the quota levels.
 ACCEPTED_STATUSES = ("APPROVED", "COMPLETE", "DENIED")
 QUOTA_CREDITS = 100
 QUOTA_LEVELS = (75, 90, 100)
+# Most audit batch ids broadcast to the incoming side (about 40 bytes each).
+MAX_BROADCAST_BATCHES = 200_000
 
 
 def batch_id(ts: str = "loaded_at", prefix: str = "batch_") -> Column:
@@ -31,10 +33,19 @@ def batch_id(ts: str = "loaded_at", prefix: str = "batch_") -> Column:
 
 
 def idempotent_batch_load(incoming: DataFrame, audit: DataFrame, batch: Column | None = None,
-                          audit_col: str = "file_name") -> DataFrame:
-    """The incoming rows whose batch is not yet in the load audit (safe to append)."""
+                          audit_col: str = "file_name",
+                          max_broadcast_batches: int = MAX_BROADCAST_BATCHES) -> DataFrame:
+    """The incoming rows whose batch is not yet in the load audit (safe to append).
+
+    Each batch id covers a whole load (a day's rows), so shuffling incoming
+    rows by batch id would put a whole batch in one task. The audit has one
+    row per batch: its ids are broadcast when a bounded count shows at most
+    ``max_broadcast_batches`` of them, so incoming rows are never shuffled;
+    beyond that the join is shuffled and AQE splits the hot batches.
+    """
     inc = incoming.withColumn("batch_id", batch if batch is not None else batch_id())
-    return anti_join(inc, "batch_id", distinct_keys_of(audit, audit_col))
+    loaded = bounded_broadcast(distinct_keys_of(audit, audit_col), max_broadcast_batches)
+    return anti_join(inc, "batch_id", loaded)
 
 
 def merge_upsert(target: DataFrame, incoming: DataFrame, key: str = "event_id",
@@ -216,8 +227,7 @@ def long_running_queries(history: DataFrame, max_seconds: float = 300) -> DataFr
                    .orderBy(F.desc("total_elapsed_time"), "query_id"))
 
 
-def incident_checklist(staging: DataFrame, curated: DataFrame, audit: DataFrame, dim: DataFrame,
-                       string_source: DataFrame, metering: DataFrame, asof=None,
+def incident_checklist(staging: DataFrame, curated: DataFrame, audit: DataFrame, string_source: DataFrame, metering: DataFrame, asof=None,
                        sla_hours: int = 24, growth_band: tuple[float, float] = (0.5, 2.0)) -> DataFrame:
     """The troubleshooting checklist, one row per answerable question.
 
@@ -225,22 +235,23 @@ def incident_checklist(staging: DataFrame, curated: DataFrame, audit: DataFrame,
     metric is a one-row aggregate; the rows are cross joined (one row each)
     and stacked, so the plan has no wide intermediate.
     """
-    latest = staging.agg(F.max("loaded_at").alias("_latest"))
-    lat = latest.select(
-        F.col("_latest"),
-        F.when(F.col("_latest").isNull(), F.lit(None).cast("double"))
-         .otherwise((F.unix_micros(asof_or_now(asof).cast("timestamp"))
-                     - F.unix_micros(F.col("_latest").cast("timestamp"))) / F.lit(3.6e9)).alias("m3"))
     missing = missing_load_days(audit).agg(F.count(F.lit(1)).cast("double").alias("m2"))
     growth = (row_growth(staging).filter(F.col("prior_row_count").isNotNull())
               .agg(F.max_by("row_count", "load_date").alias("_r"), F.max_by("prior_row_count", "load_date").alias("_p"))
               .select((F.col("_r").cast("double") / F.col("_p")).alias("m4")))
+    # one keyed pass over staging answers questions 1, 3, 5, 6 and 8
     per_key = staging.groupBy("event_id").agg(F.count(F.lit(1)).alias("_n"),
-                                              F.count_if(F.col("provider_id").isNull()).alias("_nulls"))
+                                              F.count_if(F.col("provider_id").isNull()).alias("_nulls"),
+                                              F.max("loaded_at").alias("_key_latest"))
     keys_ = per_key.agg(F.count_if(F.col("_n") > 1).cast("double").alias("m5"),
                         F.coalesce(F.sum("_nulls"), F.lit(0)).cast("double").alias("m6"),
                         F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("double").alias("m8"),
-                        F.coalesce(F.sum("_n"), F.lit(0)).alias("_rows"))
+                        F.coalesce(F.sum("_n"), F.lit(0)).alias("_rows"),
+                        F.max("_key_latest").alias("_latest"))
+    keys_ = keys_.withColumn(
+        "m3", F.when(F.col("_latest").isNull(), F.lit(None).cast("double"))
+               .otherwise((F.unix_micros(asof_or_now(asof).cast("timestamp"))
+                           - F.unix_micros(F.col("_latest").cast("timestamp"))) / F.lit(3.6e9)))
     invalid = invalid_keys(string_source).agg(F.count(F.lit(1)).cast("double").alias("m7"))
     grain = curated.agg(F.coalesce(F.sum("event_count"), F.lit(0)).alias("_curated_sum"),
                         F.count(F.lit(1)).alias("_groups"),
@@ -248,7 +259,7 @@ def incident_checklist(staging: DataFrame, curated: DataFrame, audit: DataFrame,
     anomalies = (usage_anomalies(metering).filter(F.col("usage_date") >= F.to_date(since(asof, 1, "day")))
                  .agg(F.count_if(F.col("is_anomaly")).cast("double").alias("m10")))
     # every input is a global aggregate: exactly one row each, even when empty
-    row = (lat.crossJoin(missing).crossJoin(growth).crossJoin(keys_).crossJoin(invalid)
+    row = (keys_.crossJoin(missing).crossJoin(growth).crossJoin(invalid)
               .crossJoin(grain).crossJoin(anomalies))
     row = row.withColumn("m1", F.when(F.col("_latest").isNull(), F.lit(0.0)).otherwise(F.lit(1.0)))
     row = row.withColumn("m9", (F.col("_curated_sum") - F.col("_rows")).cast("double")

@@ -9,10 +9,11 @@
   join is a de-duplicated key set, so a hot key there is collapsed by the
   partial aggregate before it is shuffled.
 * No join here forces a broadcast of a side that grows with the data: the
-  planner broadcasts only when the measured size is under
-  ``spark.sql.autoBroadcastJoinThreshold`` (AQE re-checks at runtime) and
-  falls back to a shuffled join otherwise. The only explicit broadcasts are
-  of one-row aggregates.
+  planner broadcasts only when the estimated size is under
+  ``spark.sql.autoBroadcastJoinThreshold`` (AQE re-checks measured sizes at
+  runtime) and falls back to a shuffled join otherwise. Explicit broadcasts
+  are of one-row aggregates, or go through ``bounded_broadcast``, which
+  counts the side first (bounded) and only then marks it.
 """
 
 from __future__ import annotations
@@ -21,6 +22,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
+    """Mark ``df`` for broadcast only if it has at most ``max_rows`` rows.
+
+    The check counts at most ``max_rows + 1`` rows (limit before count: a
+    plain scan stops early, and only one number reaches the driver). Beyond
+    the bound ``df`` is returned as is
+    and the planner shuffles both sides (with AQE's skew splitting). Use it
+    for sides whose size the planner cannot estimate (derived aggregates such
+    as a load audit) and that are small by nature but not by construction.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
+
+
 def distinct_keys_of(df: DataFrame, key: Column | str, alias: str = "_k", keep_null: bool = False) -> DataFrame:
     """The de-duplicated key set of ``df`` (partial aggregation before the shuffle)."""
     k = F.col(key) if isinstance(key, str) else key

@@ -871,5 +871,5 @@ UNION ALL SELECT 10, 'usage_stable', m10, COALESCE(m10 = 0, false) FROM rw"""
 def q_incident_checklist(spark, d):
     staging = T.staging_events_dup(spark, d)
     return controls.incident_checklist(
-        staging, baseline.curated_daily_events(staging), T.load_audit(spark, d), T.dim_provider_lookup(spark, d),
+        staging, baseline.curated_daily_events(staging), T.load_audit(spark, d),
         T.provider_string_source(spark, d), T.warehouse_metering_history(spark, d), FRESHNESS_ASOF)

@@ -21,6 +21,24 @@ DEFAULT_CONF = {
 }
 
 
+# A starting profile for a large cluster (pass as ``extra_conf``). Shuffle
+# partitions are set high and AQE coalesces them to the advisory size, so
+# the same jobs fit both a small daily slice and a full 100 TB backfill;
+# skewed partitions are split once they exceed both the factor and the size.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.parquet.filterPushdown": "true",
+    "spark.sql.parquet.aggregatePushdown": "true",
+}
+
+
 def build_session(master: str | None = None, app_name: str = "freshet",
                   shuffle_partitions: int | None = None,
                   extra_conf: dict[str, str] | None = None) -> SparkSession:
