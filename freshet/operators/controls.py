@@ -88,22 +88,27 @@ def contract_report(events: DataFrame, dim: DataFrame, string_source: DataFrame
                     accepted: Sequence[str] = ACCEPTED_STATUSES) -> DataFrame:
     """Column contracts -- unique, not-null, accepted values, relationship, key type.
 
-    One row per rule with its violation count. The not-null and accepted-value
-    counts share one scan; uniqueness is one keyed aggregate; the relationship
-    rule is an anti join against the de-duplicated lookup keys.
+    One row per rule with its violation count. Uniqueness, not-null and
+    accepted values come from one keyed aggregate (partial aggregation first);
+    the relationship rule is an anti join against the de-duplicated lookup
+    keys; the type rule reads schema metadata only.
     """
-    basic = events.agg(
-        F.count_if(F.col(key).isNull()).alias("_key_nulls"),
-        F.count_if(F.col(fk).isNull()).alias("_fk_nulls"),
-        F.count_if(F.col("status").isNotNull() & ~F.col("status").isin(list(accepted))).alias("_bad_status"))
-    dups = (events.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-                  .agg(F.count_if(F.col("_n") > 1).alias("_dup_keys")))
+    # one keyed pass: uniqueness, both not-null rules and accepted values
+    per_key = events.groupBy(key).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.count_if(F.col(fk).isNull()).alias("_fk_null_rows"),
+        F.count_if(F.col("status").isNotNull() & ~F.col("status").isin(list(accepted))).alias("_bad_rows"))
+    basic = per_key.agg(
+        F.coalesce(F.sum(F.when(F.col(key).isNull(), F.col("_n"))), F.lit(0)).alias("_key_nulls"),
+        F.coalesce(F.sum("_fk_null_rows"), F.lit(0)).alias("_fk_nulls"),
+        F.coalesce(F.sum("_bad_rows"), F.lit(0)).alias("_bad_status"),
+        F.count_if(F.col("_n") > 1).alias("_dup_keys"))
     orphans = (anti_join(events.select(fk), fk, distinct_keys_of(dim, fk), keep_null_left=False)
                .agg(F.count(F.lit(1)).alias("_orphans")))
     type_mismatch = 0
     if string_source is not None:
         type_mismatch = int(events.schema[fk].dataType != string_source.schema[fk].dataType)
-    row = (basic.crossJoin(dups).crossJoin(orphans)
+    row = (basic.crossJoin(orphans)
                 .withColumn("_type_mismatch", F.lit(type_mismatch)))
     out = _stack(row, [("unique", key, "_dup_keys"),
                        ("not_null", key, "_key_nulls"),
@@ -133,17 +138,23 @@ def missing_files(expected: DataFrame, audit: DataFrame, col: str = "file_name",
 def row_growth(events: DataFrame, ts: str = "loaded_at") -> DataFrame:
     """Rows per day against the previous calendar day (NULL when that day had none).
 
-    The previous day is found by an equi-join on ``date - 1`` of the daily
-    aggregate, not by an unpartitioned window.
+    One pass: the daily counts are computed once, and each day's count is
+    also emitted as the "prior" count of the next calendar day; a second
+    aggregate over these (days x 2) rows lines them up. No self-join (which
+    would scan the input twice) and no unpartitioned window.
     """
-    daily = events.groupBy(F.to_date(ts).alias("load_date")).agg(F.count(F.lit(1)).alias("row_count"))
-    prior = daily.select(F.date_add("load_date", 1).alias("load_date"), F.col("row_count").alias("prior_row_count"))
-    out = daily.join(prior, "load_date", "left")
-    return (out.select("load_date", "row_count", "prior_row_count",
-                       (F.col("row_count") - F.col("prior_row_count")).alias("row_change"),
-                       ((F.col("row_count") - F.col("prior_row_count")).cast("double")
-                        / F.col("prior_row_count")).alias("change_ratio"))
-               .orderBy("load_date"))
+    daily = events.groupBy(F.to_date(ts).alias("load_date")).agg(F.count(F.lit(1)).alias("_n"))
+    pairs = daily.select(F.explode(F.array(
+        F.struct(F.col("load_date").alias("d"), F.col("_n").alias("cur"), F.lit(None).cast("bigint").alias("prev")),
+        F.struct(F.date_add("load_date", 1).alias("d"), F.lit(None).cast("bigint").alias("cur"),
+                 F.col("_n").alias("prev")))).alias("p")).select("p.*")
+    lined = (pairs.groupBy(F.col("d").alias("load_date"))
+                  .agg(F.max("cur").alias("row_count"), F.max("prev").alias("prior_row_count"))
+                  .filter(F.col("row_count").isNotNull()))
+    change = F.col("row_count") - F.col("prior_row_count")
+    return (lined.select("load_date", "row_count", "prior_row_count", change.alias("row_change"),
+                         (change.cast("double") / F.col("prior_row_count")).alias("change_ratio"))
+                 .orderBy(F.asc_nulls_last("load_date")))
 
 
 def unmatched_rate(events: DataFrame, stg: DataFrame, key: str = "provider_id",

@@ -59,17 +59,22 @@ def build_session(master: str | None = None, app_name: str = "freshet",
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder the cluster names.
+def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
+    """Return the shared checkpoint folder the cluster names, if any.
 
-    A cluster sets ``spark.checkpoint.dir`` to a shared location; it is only
-    filled in here when unset (local tests), with a fresh scratch folder.
+    A cluster sets ``spark.checkpoint.dir`` to a shared location and it is
+    used as is. Only a local-mode session (tests, local bench) with no
+    setting gets a fresh scratch folder; on a cluster nothing machine-local
+    is ever set.
     """
-    current = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if current:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(current)
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(current)
         return current
+    if not sc.master.startswith("local"):
+        return None
     path = tempfile.mkdtemp(prefix="freshet-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.sparkContext.setCheckpointDir(path)
+    sc.setCheckpointDir(path)
     return path
