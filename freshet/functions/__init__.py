@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 __all__ = [
     "as_column", "ntz", "since", "hours_crossed", "minutes_crossed",
     "to_number_or_null", "normalize_key", "freshness_hours_expr", "format_ts",
-    "ms_to_seconds", "asof_or_now", "NO_LOAD_TEXT",
+    "ms_to_seconds", "asof_or_now", "at_or_after", "in_lookback", "NO_LOAD_TEXT",
 ]
 
 # Fixed value: the dashboard's text for a missing load time.
@@ -58,6 +58,26 @@ def since(asof, n: int, unit: str = "day") -> Column:
     return asof_or_now(asof) - F.expr(f"INTERVAL {int(n)} {_UNITS[key]}")
 
 
+def at_or_after(ts, bound: Column, date_col: str | None = None, inclusive: bool = True) -> Column:
+    """``ts >= bound`` (or ``>``), plus the same bound on a date partition column.
+
+    On a table partitioned by the date of ``ts`` (see
+    ``sources.sinks.write_date_partitioned``), the added
+    ``date_col >= to_date(bound)`` folds to a date literal and becomes a
+    partition filter, so older partitions are never listed or read.
+    """
+    c = as_column(ts)
+    cond = c >= bound if inclusive else c > bound
+    if date_col:
+        cond = cond & (F.col(date_col) >= F.to_date(bound))
+    return cond
+
+
+def in_lookback(ts, asof, n: int, unit: str = "day", date_col: str | None = None) -> Column:
+    """Rows inside the rolling look-back ``[asof - n unit, ...)``."""
+    return at_or_after(ts, since(asof, n, unit), date_col)
+
+
 def _boundaries_crossed(unit: str, start, end) -> Column:
     # DATEDIFF in the warehouse dialect counts unit boundaries crossed, not
     # elapsed whole units: truncate both ends first, then take the difference.

@@ -1,4 +1,4 @@
-"""A2: the reference's literal seed rows, as small typed DataFrames.
+"""A2: the sample seed rows (providers, events, string keys), as small typed DataFrames.
 
 These are test fixtures (golden inputs), never inputs of a registered query.
 """

@@ -59,6 +59,16 @@ def write_full_refresh(df: DataFrame, path: str, partition_by: list[str] | None
     return replace_table(df, path, partition_by)
 
 
+def write_date_partitioned(df: DataFrame, path: str, ts_col: str, date_col: str) -> str:
+    """Store ``df`` partitioned by the date of ``ts_col`` (a new ``date_col`` column).
+
+    Look-back and watermark operators given ``date_col`` then prune whole
+    date partitions from the literal bound, on top of row-group skipping.
+    """
+    from pyspark.sql import functions as F
+    return replace_table(df.withColumn(date_col, F.to_date(ts_col)), path, partition_by=[date_col])
+
+
 def export_csv(df: DataFrame, path: str) -> str:
     """CSV with a header, no index, UTF-8; one part file per task (no single-task funnel)."""
     df.write.mode("overwrite").option("header", True).option("encoding", "UTF-8").csv(path)

@@ -1,6 +1,6 @@
 """Incremental loading from a stored high-water mark (batch, not Structured Streaming).
 
-The reference's "watermark" is a timestamp kept in a control table and
+The incident reports' "watermark" is a timestamp kept in a control table and
 advanced after each successful batch. The bound is read first, as one value,
 and applied as a literal filter, so Catalyst pushes it into the Parquet scan
 (row-group skipping, and partition pruning on date-partitioned sources):
@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from freshet.functions import asof_or_now, ntz, since
+from freshet.functions import asof_or_now, at_or_after, in_lookback, ntz, since
 
 
 def append_with_default_load_ts(base: DataFrame, new: DataFrame, load_ts=None,
@@ -24,15 +24,10 @@ def append_with_default_load_ts(base: DataFrame, new: DataFrame, load_ts=None,
     return base.unionByName(new.select(*base.columns), allowMissingColumns=False)
 
 
-def _after(col: str, bound, inclusive: bool):
-    c = F.col(col)
-    return c >= bound if inclusive else c > bound
-
-
 def incremental_lookback(source: DataFrame, asof=None, days: int = 1,
-                         col: str = "event_timestamp") -> DataFrame:
+                         col: str = "event_timestamp", date_col: str | None = None) -> DataFrame:
     """Rows inside a fixed look-back (``>= asof - days``)."""
-    return source.filter(F.col(col) >= since(asof, days, "day"))
+    return source.filter(in_lookback(col, asof, days, "day", date_col))
 
 
 def incremental_vs_full(source: DataFrame, asof=None, days: int = 1,
@@ -48,7 +43,8 @@ def max_value(df: DataFrame, col: str):
 
 
 def incremental_by_target_max(source: DataFrame, target: DataFrame, col: str = "event_timestamp",
-                              inclusive: bool = False, on_empty: str = "none") -> DataFrame:
+                              inclusive: bool = False, on_empty: str = "none",
+                              date_col: str | None = None) -> DataFrame:
     """Source rows after the target's maximum (``> (SELECT MAX ...)``).
 
     An empty target has a NULL maximum, so the faithful result is no rows
@@ -57,7 +53,7 @@ def incremental_by_target_max(source: DataFrame, target: DataFrame, col: str = "
     bound = max_value(target, col)
     if bound is None:
         return source if on_empty == "all" else source.filter(F.lit(False))
-    return source.filter(_after(col, ntz(bound), inclusive))
+    return source.filter(at_or_after(col, ntz(bound), date_col, inclusive))
 
 
 def read_watermark(control: DataFrame, pipeline: str) -> object:
@@ -68,7 +64,7 @@ def read_watermark(control: DataFrame, pipeline: str) -> object:
 
 def incremental_by_control(source: DataFrame, control: DataFrame, pipeline: str,
                            col: str = "event_timestamp", inclusive: bool = False,
-                           on_empty: str = "all") -> DataFrame:
+                           on_empty: str = "all", date_col: str | None = None) -> DataFrame:
     """Source rows after the pipeline's stored watermark.
 
     A pipeline with no watermark yet loads everything by default (first run).
@@ -76,7 +72,7 @@ def incremental_by_control(source: DataFrame, control: DataFrame, pipeline: str,
     bound = read_watermark(control, pipeline)
     if bound is None:
         return source if on_empty == "all" else source.filter(F.lit(False))
-    return source.filter(_after(col, ntz(bound), inclusive))
+    return source.filter(at_or_after(col, ntz(bound), date_col, inclusive))
 
 
 def advance_watermark(control: DataFrame, pipeline: str, batch: DataFrame,
@@ -97,9 +93,9 @@ def advance_watermark(control: DataFrame, pipeline: str, batch: DataFrame,
     return others.unionByName(advanced)
 
 
-def processed_window(target: DataFrame, asof=None, hours: int = 1) -> DataFrame:
-    """Event-time range and row count of rows loaded in the last hours."""
-    return (target.filter(F.col("loaded_at") >= since(asof, hours, "hour"))
+def processed_window(target: DataFrame, asof=None, hours: int = 1, date_col: str | None = None) -> DataFrame:
+    """Event-time range and row count of rows loaded in the last hours (``date_col``: load-date partition)."""
+    return (target.filter(in_lookback("loaded_at", asof, hours, "hour", date_col))
                   .agg(F.min("event_timestamp").alias("minimum_processed_timestamp"),
                        F.max("event_timestamp").alias("maximum_processed_timestamp"),
                        F.count(F.lit(1)).alias("rows_processed")))

@@ -1,4 +1,4 @@
-"""Golden values on the reference's sample data (hand-computed, see FIXTURES.md §1)."""
+"""Golden values on the sample seed data (hand-computed, see FIXTURES.md §1)."""
 
 from __future__ import annotations
 
