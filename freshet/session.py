@@ -53,7 +53,7 @@ def build_session(master: str | None = None, app_name: str = "freshet",
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     for key, value in conf.items():
-        if not key.startswith("spark.ui") and not key.startswith("spark.driver"):
+        if key.startswith("spark.sql."):
             spark.conf.set(key, value)
     ensure_checkpoint_dir(spark)
     return spark
