@@ -99,3 +99,39 @@ def processed_window(target: DataFrame, asof=None, hours: int = 1, date_col: str
                   .agg(F.min("event_timestamp").alias("minimum_processed_timestamp"),
                        F.max("event_timestamp").alias("maximum_processed_timestamp"),
                        F.count(F.lit(1)).alias("rows_processed")))
+
+
+def load_increment(spark, source: DataFrame, target_path: str, control_path: str, pipeline: str,
+                   key: str = "event_id", col: str = "event_timestamp", date_col: str | None = None) -> dict:
+    """One incremental run: new slice -> idempotent append -> advance the watermark.
+
+    1. read the stored watermark (one value) and filter the source with it
+       as a literal (pushed down; partitions pruned when ``date_col`` is set);
+    2. append only rows whose key is not yet in the target (anti join against
+       the target's de-duplicated keys), so a rerun after a failure between
+       steps 2 and 3 appends nothing twice;
+    3. only then write the advanced control table (new copy, then swap); the
+       new mark is the maximum now stored in the target above the old mark.
+
+    Each step is a complete Spark job over files on shared storage: a lost
+    executor is recomputed from lineage, and a failed run is simply rerun.
+    Rows with a NULL key cannot be matched and are appended as they come.
+    Returns the watermark before and after the run.
+    """
+    from freshet.operators.joins import anti_join, distinct_keys_of
+    from freshet.sources import sinks
+
+    sinks.ensure_control(spark, control_path)
+    control = sinks.read_control(spark, control_path)
+    before = read_watermark(control, pipeline)
+    batch = incremental_by_control(source, control, pipeline, col=col, date_col=date_col)
+    if sinks.path_exists(spark, target_path):
+        existing = spark.read.schema(batch.schema).parquet(target_path)
+        batch = anti_join(batch, key, distinct_keys_of(existing, key))
+    batch.write.mode("append").parquet(target_path)
+    stored = spark.read.parquet(target_path)
+    if before is not None:
+        stored = stored.filter(at_or_after(col, ntz(before), date_col, inclusive=False))
+    sinks.replace_table(advance_watermark(control, pipeline, stored, col), control_path)
+    after = read_watermark(sinks.read_control(spark, control_path), pipeline)
+    return {"watermark_before": before, "watermark_after": after}

@@ -75,3 +75,22 @@ def test_append_default_load_ts(spark):
     r = out.filter(F.col("event_id") == 11).collect()[0]
     assert r["loaded_at"] == dt.datetime(2026, 7, 25, 1, 0)
     assert out.count() == 11
+
+
+def test_incremental_load_job_is_idempotent_across_a_failed_run(spark, scratch):
+    src = seeds.seed_events(spark)
+    target, control = os.path.join(scratch, "target"), os.path.join(scratch, "control")
+    first_half = src.filter("event_timestamp < '2026-07-22 00:00:00'")
+    r1 = incremental.load_increment(spark, first_half, target, control, "EVENT_PIPELINE")
+    assert r1 == {"watermark_before": None, "watermark_after": dt.datetime(2026, 7, 21, 12, 0)}
+    assert spark.read.parquet(target).count() == 5
+    # a run that appends the next slice but dies before advancing the watermark ...
+    batch = incremental.incremental_by_control(src, sinks.read_control(spark, control), "EVENT_PIPELINE")
+    batch.filter("event_id <= 7").write.mode("append").parquet(target)
+    # ... is simply rerun: nothing is appended twice, and the mark moves once
+    r2 = incremental.load_increment(spark, src, target, control, "EVENT_PIPELINE")
+    assert r2["watermark_after"] == dt.datetime(2026, 7, 23, 16, 10)
+    stored = spark.read.parquet(target)
+    assert stored.count() == 10 and duplicates.duplicate_keys(stored).count() == 0
+    r3 = incremental.load_increment(spark, src, target, control, "EVENT_PIPELINE")
+    assert r3["watermark_before"] == r3["watermark_after"] and spark.read.parquet(target).count() == 10
