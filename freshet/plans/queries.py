@@ -11,8 +11,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from freshet.operators import baseline, duplicates, exclusion, explorer, freshness, keys, usage
+from freshet.functions import ntz
+from freshet.operators import baseline, controls, duplicates, exclusion, explorer, freshness, keys, usage
 from freshet.plans.views import with_views
 from freshet.sources import tables as T
 from freshet.streaming import incremental
@@ -591,9 +593,7 @@ SELECT event_id, provider_id, event_type, status, event_timestamp, TIMESTAMP '{U
 FROM staging_events WHERE event_timestamp >= TIMESTAMP '{T.TARGET_CUTOFF}'""",
           ("staging_events", "target_events"))
 def q_append_with_default_load_ts(spark, d):
-    from pyspark.sql import functions as F
-    landed = (_staging(spark, d).filter(F.col("event_timestamp") >= F.lit(T.TARGET_CUTOFF).cast("timestamp_ntz"))
-                                .drop("loaded_at"))
+    landed = _staging(spark, d).filter(F.col("event_timestamp") >= ntz(T.TARGET_CUTOFF)).drop("loaded_at")
     return incremental.append_with_default_load_ts(T.target_events(spark, d), landed, USAGE_ASOF)
 
 
@@ -657,7 +657,6 @@ def q_processed_window(spark, d):
 
 # --------------------------------------------------------------- prevention controls
 
-from freshet.operators import controls  # noqa: E402
 
 MERGE_FROM = "2024-01-28 00:00:00"     # the re-delivered batch overlaps the target's last day and a half
 ANOMALY_FACTOR = 2.0
@@ -684,9 +683,7 @@ SELECT * FROM target_events t WHERE NOT EXISTS (SELECT 1 FROM incoming i WHERE i
 UNION ALL SELECT * FROM latest
 UNION ALL SELECT * FROM incoming WHERE event_id IS NULL""", ("staging_events_dup", "target_events"))
 def q_merge_upsert(spark, d):
-    from pyspark.sql import functions as F
-    incoming = T.staging_events_dup(spark, d).filter(
-        F.col("event_timestamp") >= F.lit(MERGE_FROM).cast("timestamp_ntz"))
+    incoming = T.staging_events_dup(spark, d).filter(F.col("event_timestamp") >= ntz(MERGE_FROM))
     return controls.merge_upsert(T.target_events(spark, d), incoming)
 
 
