@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from freshet.functions import (format_ts, freshness_hours_expr, hours_crossed, minutes_crossed, ntz,
                                to_number_or_null, normalize_key, since)
-from freshet.operators import duplicates, exclusion, explorer
-from freshet.sources import schemas
+from freshet.operators import baseline, duplicates, exclusion, explorer, freshness, keys, usage
+from freshet.sources import schemas, seeds
 from tests.helpers import col_values, rows
 
 
@@ -112,3 +113,41 @@ def test_column_helpers(spark):
     low = explorer.normalize_columns(df)
     assert low.columns == ["a", "bb"]
     assert explorer.select_available(low, ["bb", "zz", "a"]).columns == ["bb", "a"]
+
+
+def test_bare_integer_string_join_fails_but_naive_join_reproduces_the_effect(spark):
+    ev, src = seeds.seed_events(spark), seeds.seed_string_source(spark)
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        ev.join(src, ev["provider_id"] == src["provider_id"]).collect()
+    assert keys.naive_type_join(ev, src).count() == 5
+
+
+def test_sql_check_is_strict_but_dashboard_rounds(spark):
+    df = spark.createDataFrame([(1, 1, "A", "S", dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 1, 0, 0))],
+                               schemas.STAGING_EVENTS)
+    asof = "2024-01-02 00:02:00"  # 24 h 2 min after the load
+    assert rows(freshness.pipeline_health(df, asof, 24)) == [("STALE",)]
+    f = rows(freshness.freshness_hours(df, asof))[0]
+    assert f[2] == 24.0 and f[3] == "WITHIN_SLA"
+
+
+def test_top_k_puts_null_bytes_last(spark):
+    qh = spark.createDataFrame(
+        [("a", "u", "WH_1", "SELECT", "q", dt.datetime(2024, 1, 30, 12), dt.datetime(2024, 1, 30, 12, 1), 5, None, 1, "SUCCESS"),
+         ("b", "u", "WH_1", "SELECT", "q", dt.datetime(2024, 1, 30, 12), dt.datetime(2024, 1, 30, 12, 1), 5, 10, 1, "SUCCESS"),
+         ("c", "u", "WH_1", "SELECT", "q", dt.datetime(2024, 1, 30, 12), dt.datetime(2024, 1, 30, 12, 1), 5, 10, 1, "SUCCESS")],
+        schemas.QUERY_HISTORY)
+    got = col_values(usage.expensive_queries(qh, "2024-01-31 00:00:00", n=3), "query_id")
+    assert got == ["b", "c", "a"]
+
+
+def test_event_dates_do_not_shift_with_the_session_zone(spark):
+    ev = seeds.seed_events(spark)
+    utc = rows(baseline.curated_ordered(baseline.curated_daily_events(ev)))
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        other = rows(baseline.curated_ordered(baseline.curated_daily_events(ev)))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert other == utc
