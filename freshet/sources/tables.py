@@ -145,3 +145,18 @@ def load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "lineitem")
+
+
+def file_load_audit(spark: SparkSession, path: str, table_name: str) -> DataFrame:
+    """A load audit built from the landed files themselves: one row per file.
+
+    Uses Spark's hidden ``_metadata`` columns (file path, modification time),
+    so no data column is read; the result has the ``load_audit`` schema and
+    feeds ``load_history``, ``missing_load_days`` and ``missing_files``.
+    """
+    files = spark.read.parquet(path).select(F.col("_metadata.file_path").alias("file_name"),
+                                            F.col("_metadata.file_modification_time").alias("_mtime"))
+    return (files.groupBy("file_name")
+                 .agg(F.max("_mtime").cast("timestamp_ntz").alias("last_load_time"),
+                      F.count(F.lit(1)).alias("row_count"))
+                 .select("file_name", F.lit(table_name).alias("table_name"), "last_load_time", "row_count"))

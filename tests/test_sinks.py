@@ -94,3 +94,20 @@ def test_incremental_load_job_is_idempotent_across_a_failed_run(spark, scratch):
     assert stored.count() == 10 and duplicates.duplicate_keys(stored).count() == 0
     r3 = incremental.load_increment(spark, src, target, control, "EVENT_PIPELINE")
     assert r3["watermark_before"] == r3["watermark_after"] and spark.read.parquet(target).count() == 10
+
+
+def test_file_load_audit_from_landed_files(spark, scratch):
+    from freshet.operators import controls, freshness
+    from freshet.sources import tables
+    path = os.path.join(scratch, "landing")
+    ev = seeds.seed_events(spark)
+    ev.filter("event_id <= 4").write.mode("append").parquet(path)
+    ev.filter("event_id > 4").write.mode("append").parquet(path)
+    audit = tables.file_load_audit(spark, path, "STAGING_EVENTS")
+    assert [f.name for f in audit.schema] == [f.name for f in schemas.LOAD_AUDIT]
+    got = audit.collect()
+    assert sum(r["row_count"] for r in got) == 10 and all(r["file_name"].endswith(".parquet") for r in got)
+    history = freshness.load_history(audit, "STAGING_EVENTS", "2000-01-01 00:00:00")
+    assert history.count() == len(got)
+    expected = spark.createDataFrame([(r["file_name"],) for r in got] + [("file:/missing.parquet",)], "file_name string")
+    assert [r[0] for r in controls.missing_files(expected, audit).collect()] == ["file:/missing.parquet"]
