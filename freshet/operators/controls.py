@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from freshet.functions import asof_or_now, since
 from freshet.operators.duplicates import dedup_keep_first
-from freshet.operators.joins import anti_join, bounded_broadcast, distinct_keys_of
+from freshet.operators.joins import anti_join, attach_scalars, bounded_broadcast, distinct_keys_of
 from freshet.operators.keys import invalid_keys, match_rate
 
 # Event statuses the contract accepts, and the quota levels.
@@ -116,7 +116,7 @@ def contract_report(events: DataFrame, dim: DataFrame, string_source: DataFrame
     type_mismatch = 0
     if string_source is not None:
         type_mismatch = int(events.schema[fk].dataType != string_source.schema[fk].dataType)
-    row = (basic.crossJoin(orphans)
+    row = (attach_scalars(basic, orphans)
                 .withColumn("_type_mismatch", F.lit(type_mismatch)))
     out = _stack(row, [("unique", key, "_dup_keys"),
                        ("not_null", key, "_key_nulls"),
@@ -251,8 +251,8 @@ def incident_checklist(staging: DataFrame, curated: DataFrame, audit: DataFrame,
     """The troubleshooting checklist, one row per answerable question.
 
     Columns: check_no, check_name, metric (double), passed (boolean). Every
-    metric is a one-row aggregate; the rows are cross joined (one row each)
-    and stacked, so the plan has no wide intermediate.
+    metric is a one-row aggregate; they are combined as scalar subqueries
+    and stacked, so the plan has no join and no wide intermediate.
     """
     missing = missing_load_days(audit).agg(F.count(F.lit(1)).cast("double").alias("m2"))
     growth = (row_growth(staging).filter(F.col("prior_row_count").isNotNull())
@@ -278,8 +278,7 @@ def incident_checklist(staging: DataFrame, curated: DataFrame, audit: DataFrame,
     anomalies = (usage_anomalies(metering).filter(F.col("usage_date") >= F.to_date(since(asof, 1, "day")))
                  .agg(F.count_if(F.col("is_anomaly")).cast("double").alias("m10")))
     # every input is a global aggregate: exactly one row each, even when empty
-    row = (keys_.crossJoin(missing).crossJoin(growth).crossJoin(invalid)
-              .crossJoin(grain).crossJoin(anomalies))
+    row = attach_scalars(keys_, missing, growth, invalid, grain, anomalies)
     row = row.withColumn("m1", F.when(F.col("_latest").isNull(), F.lit(0.0)).otherwise(F.lit(1.0)))
     row = row.withColumn("m9", (F.col("_curated_sum") - F.col("_rows")).cast("double")
                          + (F.col("_groups") - F.col("_distinct_groups")).cast("double"))

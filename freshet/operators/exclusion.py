@@ -4,8 +4,9 @@ Spark plans ``x NOT IN (subquery)`` as a null-aware anti join that always
 broadcasts the subquery side -- here the *event* table, which grows with the
 data. ``not_in_keys`` rebuilds the exact three-valued semantics from pieces
 that scale: the de-duplicated event keys (partial aggregate, so hot keys
-collapse map-side), a one-row flag aggregate (the only broadcast), and an
-ordinary anti join that the planner may shuffle.
+collapse map-side), a one-row flag aggregate used as scalar subqueries (no
+broadcast of data, no join), and an ordinary anti join that the planner may
+shuffle.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from freshet.operators.joins import anti_join, distinct_keys_of
+from freshet.operators.joins import anti_join, attach_scalars, distinct_keys_of
 
 EVENT_COLUMNS = ["event_id", "provider_id", "event_type", "status", "event_timestamp", "loaded_at"]
 
@@ -76,10 +77,10 @@ def not_in_keys(dim: DataFrame, events: DataFrame, key: str = "provider_id",
     subquery, makes the predicate UNKNOWN and the row is dropped.
     """
     inner = _inner_keys(events, key, drop_null_inner)
-    flags = F.broadcast(_inner_flags(inner))  # one row by construction
+    flags = _inner_flags(inner)  # one row by construction: two scalar subqueries, evaluated once
+    inner_rows, null_rows = flags.select("_inner_rows").scalar(), flags.select("_null_rows").scalar()
     candidates = anti_join(dim.select(key), key, inner.distinct())
-    keep = (F.col("_inner_rows") == 0) | ((F.col("_null_rows") == 0) & F.col(key).isNotNull())
-    return candidates.crossJoin(flags).filter(keep).select(key)
+    return candidates.filter((inner_rows == 0) | ((null_rows == 0) & F.col(key).isNotNull())).select(key)
 
 
 def not_in_non_null(dim: DataFrame, events: DataFrame, key: str = "provider_id") -> DataFrame:
@@ -98,7 +99,7 @@ def exclusion_comparison(dim: DataFrame, events: DataFrame, key: str = "provider
     candidates = anti_join(dim.select(key), key, inner.distinct())
     cand = candidates.agg(F.count(F.lit(1)).alias("not_exists_count"),
                           F.count_if(F.col(key).isNotNull()).alias("_cand_non_null"))
-    return (cand.crossJoin(flags)
+    return (attach_scalars(cand, flags)
                 .select(F.when(F.col("_inner_rows") == 0, F.col("not_exists_count"))
                          .when(F.col("_null_rows") > 0, F.lit(0).cast("bigint"))
                          .otherwise(F.col("_cand_non_null")).alias("not_in_count"),

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from freshet.functions import (asof_or_now, format_ts, freshness_hours_expr, hours_crossed,
                                minutes_crossed, ntz, since)
+from freshet.operators.joins import attach_scalars
 
 # Fixed value: the dashboard's freshness SLA in hours.
 FRESHNESS_THRESHOLD_HOURS = 24
@@ -30,7 +31,7 @@ def layer_freshness(events: DataFrame, curated: DataFrame) -> DataFrame:
     verdict = (F.when(s.isNull(), F.lit("NO_STAGING_DATA"))
                 .when(c.isNull() | (c < s), F.lit("TRANSFORMATION_BEHIND"))
                 .otherwise(F.lit("IN_SYNC")))
-    return cu.crossJoin(st).select(c, s, verdict.alias("lag_layer"))
+    return attach_scalars(cu, st).select(c, s, verdict.alias("lag_layer"))
 
 
 def hours_since_last_load(events: DataFrame, asof=None) -> DataFrame:
@@ -91,8 +92,8 @@ def summary_metrics(events: DataFrame, curated: DataFrame, key: str = "event_id"
         F.count_if(F.col("_n") > 1).alias("duplicate_event_ids"),
         F.max("_latest").alias("latest_load"))
     cur = curated.agg(F.count(F.lit(1)).alias("curated_rows"))
-    return totals.crossJoin(cur).select("staging_rows", "curated_rows", "null_provider_ids",
-                                        "duplicate_event_ids", "latest_load")
+    return attach_scalars(totals, cur).select("staging_rows", "curated_rows", "null_provider_ids",
+                                              "duplicate_event_ids", "latest_load")
 
 
 def health_status(summary: DataFrame, asof=None, threshold_hours: float = FRESHNESS_THRESHOLD_HOURS) -> DataFrame:

@@ -12,8 +12,9 @@
   planner broadcasts only when the estimated size is under
   ``spark.sql.autoBroadcastJoinThreshold`` (AQE re-checks measured sizes at
   runtime) and falls back to a shuffled join otherwise. Explicit broadcasts
-  are of one-row aggregates, or go through ``bounded_broadcast``, which
-  counts the side first (bounded) and only then marks it.
+  go through ``bounded_broadcast``, which counts the side first (bounded)
+  and only then marks it. One-row aggregates are combined with
+  ``attach_scalars`` (scalar subqueries), never with a join.
 """
 
 from __future__ import annotations
@@ -22,6 +23,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def attach_scalars(df: DataFrame, *one_row: DataFrame) -> DataFrame:
+    """Add the columns of one-row aggregates to ``df`` as scalar subqueries.
+
+    Each argument must be a global aggregate (exactly one row). No join is
+    planned: Spark evaluates each subquery once (merging subqueries over the
+    same aggregate) and substitutes the values as literals.
+    """
+    extra = [agg.select(c).scalar().alias(c) for agg in one_row for c in agg.columns]
+    return df.select("*", *extra)
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     """Mark ``df`` for broadcast only if it has at most ``max_rows`` rows.
 

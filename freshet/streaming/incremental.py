@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from freshet.functions import asof_or_now, at_or_after, in_lookback, ntz, since
+from freshet.operators.joins import attach_scalars
 
 
 def append_with_default_load_ts(base: DataFrame, new: DataFrame, load_ts=None,
@@ -88,8 +89,8 @@ def advance_watermark(control: DataFrame, pipeline: str, batch: DataFrame,
                   .agg(F.max("last_successful_timestamp").alias("_old")))
     new = batch.agg(F.max(col).alias("_new"))
     mark = F.when(F.col("_new").isNull() | (F.col("_old") >= F.col("_new")), F.col("_old")).otherwise(F.col("_new"))
-    advanced = old.crossJoin(new).select(F.lit(pipeline).alias("pipeline_name"),
-                                         mark.alias("last_successful_timestamp"))
+    advanced = attach_scalars(old, new).select(F.lit(pipeline).alias("pipeline_name"),
+                                               mark.alias("last_successful_timestamp"))
     return others.unionByName(advanced)
 
 
@@ -119,7 +120,7 @@ def load_increment(spark, source: DataFrame, target_path: str, control_path: str
     Returns the watermark before and after the run.
     """
     from freshet.operators.joins import anti_join, distinct_keys_of
-    from freshet.sources import sinks
+    from freshet.sources import sinks  # imported here: sinks is optional for pure operators
 
     sinks.ensure_control(spark, control_path)
     control = sinks.read_control(spark, control_path)
