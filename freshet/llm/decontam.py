@@ -30,6 +30,7 @@ columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -104,7 +105,7 @@ def positional_index(docs: DataFrame, block, doc: str = "doc_id", text: str = "t
             for t in as_bytes(b.column(2)):
                 w = words_of(t)
                 n_words.append(len(w))
-                tokens.append(np.fromiter(map(number.get, w, _NONE), np.int32, len(w)))
+                tokens.append(np.fromiter(map(number.get, w, repeat(-1)), np.int32, len(w)))
             counts = np.array(n_words, np.int64)
             flat = np.concatenate(tokens) if tokens else np.empty(0, np.int32)
             row = np.repeat(np.arange(len(counts)), counts)
@@ -129,19 +130,6 @@ def positional_index(docs: DataFrame, block, doc: str = "doc_id", text: str = "t
                                "positions array<int>"))
 
 
-class _Absent:
-    """An endless iterator of -1, the id of words outside the block."""
-
-    def __iter__(self):
-        return self
-
-    def __next__(self):
-        return -1
-
-
-_NONE = _Absent()
-
-
 def term_counts(index: DataFrame, n_terms: int) -> np.ndarray:
     """Occurrences of each of the block's terms in the corpus."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
