@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from freshet.llm import decontam
+from freshet.llm import decontam, langid, mixing
 
 QUERIES = {
     "op7_decontaminate": decontam.query,
+    "op8_language_id": langid.query,
+    "op9_mix_sources": mixing.query,
 }
 
 ORACLE = {
