@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from freshet.llm import decontam, langid, mixing
+from freshet.llm import decontam, langid, mixing, neardup
 
 QUERIES = {
+    "op3_near_duplicates": neardup.query,
     "op7_decontaminate": decontam.query,
     "op8_language_id": langid.query,
     "op9_mix_sources": mixing.query,
 }
 
 ORACLE = {
+    "op3_near_duplicates": neardup.ORACLE,
     "op7_decontaminate": decontam.ORACLE,
 }
