@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from freshet.llm import decontam, langid, mixing, neardup
+from freshet.llm import decontam, langid, mixing, neardup, secrets
 
 QUERIES = {
     "op3_near_duplicates": neardup.query,
+    "op4_secrets": secrets.query,
     "op7_decontaminate": decontam.query,
     "op8_language_id": langid.query,
     "op9_mix_sources": mixing.query,
