@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from freshet.llm import decontam, langid, mixing, neardup, secrets
+from freshet.llm import decontam, langid, mixing, neardup, secrets, surrogates
 
 QUERIES = {
+    "op2_surrogates": surrogates.query,
     "op3_near_duplicates": neardup.query,
     "op4_secrets": secrets.query,
     "op7_decontaminate": decontam.query,
