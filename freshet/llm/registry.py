@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
-from freshet.llm import decontam, langid, mixing, neardup, secrets, surrogates
+from freshet.llm import decontam, langid, mixing, neardup, secrets, surrogates, tokencount, topk
 
 QUERIES = {
+    "op1_top_k": topk.query,
     "op2_surrogates": surrogates.query,
     "op3_near_duplicates": neardup.query,
     "op4_secrets": secrets.query,
+    "op6_token_counts": tokencount.query,
     "op7_decontaminate": decontam.query,
     "op8_language_id": langid.query,
     "op9_mix_sources": mixing.query,
 }
 
 ORACLE = {
+    "op1_top_k": topk.ORACLE,
     "op3_near_duplicates": neardup.ORACLE,
     "op7_decontaminate": decontam.ORACLE,
 }
