@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from freshet.llm import decontam, langid, mixing, neardup, secrets, surrogates, tokencount, topk
+from freshet.llm import decontam, langid, mixing, neardup, quality, secrets, surrogates, tokencount, topk, toxicity
 
 QUERIES = {
     "op1_top_k": topk.query,
     "op2_surrogates": surrogates.query,
     "op3_near_duplicates": neardup.query,
     "op4_secrets": secrets.query,
+    "op5_quality": quality.query,
     "op6_token_counts": tokencount.query,
     "op7_decontaminate": decontam.query,
     "op8_language_id": langid.query,
     "op9_mix_sources": mixing.query,
+    "op10_toxicity": toxicity.query,
 }
 
 ORACLE = {
