@@ -12,6 +12,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -25,7 +27,21 @@ ARROW_BATCH_ROWS = 2_000
 ARROW_BATCH_BYTES = 4 << 20
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Hand the package to the executors' Python workers (what --py-files does), once an application."""
+    sc = spark.sparkContext
+    if sc.applicationId not in _shipped:
+        package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        top, name = os.path.split(package)
+        sc.addPyFile(shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="freshet-py-"), name), "zip", top, name))
+        _shipped.add(sc.applicationId)
+
+
 def ready(spark: SparkSession) -> SparkSession:
+    ship(spark)
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")

@@ -142,7 +142,7 @@ class _Emission(dict):
 
 
 def document_stats(p: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Largest logit, log of the expected number of toxic words, and their share, of each document."""
+    """Largest logit, log of the expected number of toxic words, and their (smoothed) share, of each document."""
     out = np.zeros((len(counts), 3))
     out[:, 0] = -12
     some = np.flatnonzero(counts)
@@ -150,7 +150,7 @@ def document_stats(p: np.ndarray, counts: np.ndarray) -> np.ndarray:
         starts = (np.cumsum(counts) - counts)[some]
         top = np.clip(np.maximum.reduceat(p, starts), 1e-6, 1 - 1e-6)
         total = np.add.reduceat(p, starts)
-        out[some] = np.stack([np.log(top / (1 - top)), np.log(total + 1e-3), total / counts[some]], axis=1)
+        out[some] = np.stack([np.log(top / (1 - top)), np.log(total + 1e-3), total / (counts[some] + 10)], axis=1)
     return out
 
 
