@@ -20,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 ARROW_BATCH_ROWS = 2_000
@@ -92,6 +92,18 @@ def crc_mod(doc_id: str, m: int) -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % m, F.lit(-1))
 
 
+def smallest_hashes(ids: DataFrame, by: str, most: Column, salts: int = 256) -> DataFrame:
+    """Of rows (id, ``by``): the ``most`` smallest hashes of the id of each group, as (id, ``by``, r).
+
+    Ranked in two steps, within salts and then among what they leave, so that no task
+    orders a whole group. The result is bounded by ``most`` a group.
+    """
+    h, salt = F.xxhash64("id").alias("h"), F.pmod(F.xxhash64("id", F.lit(1)), F.lit(salts)).alias("salt")
+    inner, outer = Window.partitionBy(by, "salt").orderBy("h", "id"), Window.partitionBy(by).orderBy("h", "id")
+    some = ids.select("id", by, h, salt).withColumn("r", F.row_number().over(inner)).filter(F.col("r") <= most)
+    return some.withColumn("r", F.row_number().over(outer)).filter(F.col("r") <= most).select("id", by, "r")
+
+
 def as_bytes(column: pa.Array | pa.ChunkedArray) -> list[bytes | None]:
     """A string column as UTF-8 bytes, without decoding."""
     if isinstance(column, pa.ChunkedArray):

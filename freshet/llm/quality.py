@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freshet.llm.common import as_bytes, chunks_of, crc_mod, int_lists, stored, table
+from freshet.llm.common import as_bytes, chunks_of, crc_mod, int_lists, smallest_hashes, stored, table
 
 BUCKETS = 1 << 14
 DIM = 32
@@ -189,12 +189,15 @@ def fit(x: np.ndarray, y: np.ndarray, hidden: int = HIDDEN, epochs: int = EPOCHS
 
 def sample(pool: DataFrame, labels: DataFrame, label: str, most: int = SAMPLE) -> tuple[np.ndarray, np.ndarray]:
     """At most ``most`` labelled vectors that are not held out: the smallest hashes of the id."""
-    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("double").alias("y")).filter(F.col("y").isin(0.0, 1.0))
-    rows = (pool.filter(~F.col("held_out")).join(known, "doc_id").withColumn("h", F.xxhash64("doc_id"))
-            .orderBy("h", "doc_id", "y", "v").limit(most).select("v", "y").collect())
+    known = labels.select(F.col("doc_id").cast("long").alias("id"), F.col(label).cast("double").alias("y")).filter(
+        F.col("y").isin(0.0, 1.0) & F.col("id").isNotNull() & (crc_mod("id", HELD_OUT[0]) != HELD_OUT[1]))
+    chosen = smallest_hashes(known.withColumn("all", F.lit(1)), "all", F.lit(most)).select("id").distinct()
+    known = known.join(F.broadcast(chosen), "id")  # at most ``most`` ids
+    rows = pool.join(F.broadcast(known), F.col("doc_id") == F.col("id")).select("doc_id", "y", "v").collect()
+    rows.sort(key=lambda r: (r["doc_id"], r["y"], r["v"]))
     if not rows:
         return np.zeros((0, 2 * DIM + 2)), np.zeros(0)
-    return np.array([r[0] for r in rows], np.float64), np.array([r[1] for r in rows])
+    return np.array([r["v"] for r in rows], np.float64), np.array([r["y"] for r in rows])
 
 
 def classify(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int = SAMPLE) -> DataFrame:

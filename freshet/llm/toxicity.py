@@ -32,10 +32,10 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freshet.llm.common import as_bytes, chunks_of, crc_mod, table
+from freshet.llm.common import as_bytes, chunks_of, crc_mod, smallest_hashes, table
 
 BUCKETS = 1 << 17
 CHAIN = 128
@@ -159,10 +159,10 @@ def train_rows(docs: DataFrame, labels: DataFrame, label: str, toxic: int = TOXI
     known = labels.select(F.col("doc_id").alias("id"), F.col(label).cast("int").alias("y")).filter(F.col("y").isin(0, 1))
     able = docs.filter((crc_mod("doc_id", HELD_OUT[0]) != HELD_OUT[1]) & F.col("doc_id").isNotNull() & F.col("text").isNotNull()
                        & (F.length("text") <= SAMPLE_CHARS))
-    rank = F.row_number().over(Window.partitionBy("y").orderBy("h", "id"))
-    chosen = (able.select(F.col("doc_id").alias("id")).join(known, "id").withColumn("h", F.xxhash64("id")).withColumn("r", rank)
-              .filter((F.col("r") <= max(toxic, clean)) & (F.col("r") <= F.when(F.col("y") == 1, toxic).otherwise(clean))).select("id", "y", "r"))
-    rows = able.select(F.col("doc_id").alias("id"), "text").join(chosen, "id").select("y", "r", "text").collect()
+    ids = known.filter((crc_mod("id", HELD_OUT[0]) != HELD_OUT[1]) & F.col("id").isNotNull())
+    chosen = smallest_hashes(ids, "y", F.when(F.col("y") == 1, toxic).otherwise(clean))
+    # at most toxic + clean rows: small enough to send to every task, so no text is shuffled
+    rows = able.select(F.col("doc_id").alias("id"), "text").join(F.broadcast(chosen), "id").select("y", "text").collect()
     return sorted((r["text"].encode(), r["y"]) for r in rows)
 
 
