@@ -14,17 +14,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from freshet.functions import asof_or_now, since
+from freshet.functions import asof_or_now, at_or_after, in_lookback, since
 from freshet.operators.duplicates import dedup_keep_first
-from freshet.operators.joins import anti_join, attach_scalars, bounded_broadcast, distinct_keys_of
+from freshet.operators.joins import anti_join, attach_scalars, distinct_keys_of, listing
 from freshet.operators.keys import invalid_keys, match_rate
 
 # Event statuses the contract accepts, and the quota levels.
 ACCEPTED_STATUSES = ("APPROVED", "COMPLETE", "DENIED")
 QUOTA_CREDITS = 100
 QUOTA_LEVELS = (75, 90, 100)
-# Most audit batch ids broadcast to the incoming side (about 40 bytes each).
-MAX_BROADCAST_BATCHES = 200_000
 
 
 def batch_id(ts: str = "loaded_at", prefix: str = "batch_") -> Column:
@@ -33,35 +31,42 @@ def batch_id(ts: str = "loaded_at", prefix: str = "batch_") -> Column:
 
 
 def idempotent_batch_load(incoming: DataFrame, audit: DataFrame, batch: Column | None = None,
-                          audit_col: str = "file_name",
-                          max_broadcast_batches: int = MAX_BROADCAST_BATCHES) -> DataFrame:
+                          audit_col: str = "file_name") -> DataFrame:
     """The incoming rows whose batch is not yet in the load audit (safe to append).
 
-    Each batch id covers a whole load (a day's rows), so shuffling incoming
-    rows by batch id would put a whole batch in one task. The audit has one
-    row per batch: its ids are broadcast when a bounded count shows at most
-    ``max_broadcast_batches`` of them, so incoming rows are never shuffled;
-    beyond that the join is shuffled and AQE splits the hot batches.
+    Each batch id covers a whole load (a day's rows). The audit's ids are one row
+    per batch: under the planner's byte threshold they are broadcast and incoming rows
+    stay where they are; beyond it the join is shuffled and AQE splits the hot batches.
     """
     inc = incoming.withColumn("batch_id", batch if batch is not None else batch_id())
-    loaded = bounded_broadcast(distinct_keys_of(audit, audit_col), max_broadcast_batches)
-    return anti_join(inc, "batch_id", loaded)
+    return anti_join(inc, "batch_id", distinct_keys_of(audit, audit_col))
 
 
 def merge_upsert(target: DataFrame, incoming: DataFrame, key: str = "event_id",
-                 order: str = "loaded_at", tie_breakers: Sequence[str] | None = None) -> DataFrame:
+                 order: str = "loaded_at", tie_breakers: Sequence[str] | None = None,
+                 date_col: str | None = None) -> DataFrame:
     """MERGE-style ingestion -- incoming rows win, one (latest) row per key.
 
     Target rows whose key is in the incoming batch are replaced by the latest
     incoming version; incoming rows with a NULL key match nothing and are
-    inserted as they are.
+    inserted as they are. With ``date_col`` (a date partition column of both sides that a
+    key never changes) only the target's partitions from the batch's first to its last
+    date are read, and the result is those partitions' new content, to be stored
+    with ``sinks.replace_partitions``.
     """
     if tie_breakers is None:
         tie_breakers = [c for c in incoming.columns if c not in (key, order)]
-    keyed = incoming.filter(F.col(key).isNotNull())
-    latest = dedup_keep_first(keyed, key, order=[F.desc_nulls_last(order)], tie_breakers=tie_breakers)
+    # one pass over the batch: NULL keys are dealt out by a hash and all kept
+    salt = F.when(F.col(key).isNull(), F.xxhash64(*incoming.columns)).otherwise(F.lit(0).cast("bigint"))
+    best = (Window.partitionBy(key, "_salt")
+            .orderBy(F.desc_nulls_last(order), *[F.asc_nulls_last(c) for c in tie_breakers]))
+    latest = (incoming.withColumn("_salt", salt).withColumn("_rn", F.row_number().over(best))
+              .filter((F.col("_rn") == 1) | F.col(key).isNull()).drop("_salt", "_rn"))
+    if date_col:
+        lo, hi = incoming.agg(F.min(date_col), F.max(date_col)).first()
+        target = target.filter(F.col(date_col).between(F.lit(lo), F.lit(hi)) if lo is not None else F.lit(False))
     kept = anti_join(target, key, distinct_keys_of(incoming, key))
-    return kept.unionByName(latest).unionByName(incoming.filter(F.col(key).isNull()))
+    return kept.unionByName(latest)
 
 
 def load_audit_report(events: DataFrame, table_name: str = "STAGING_EVENTS",
@@ -133,36 +138,57 @@ def missing_load_days(audit: DataFrame, ts: str = "last_load_time") -> DataFrame
     calendar = (days.agg(F.min("load_date").alias("lo"), F.max("load_date").alias("hi"))
                     .filter(F.col("lo").isNotNull())
                     .select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 DAY"))).alias("missing_date")))
-    return anti_join(calendar, "missing_date", days, "load_date").orderBy("missing_date")
+    return anti_join(calendar, "missing_date", days, "load_date", keep_null_left=False).orderBy("missing_date")
 
 
 def missing_files(expected: DataFrame, audit: DataFrame, col: str = "file_name",
                   audit_col: str = "file_name") -> DataFrame:
     """Expected files (or batches) that the load audit never recorded."""
     names = expected.select(F.col(col).alias("file_name")).filter(F.col("file_name").isNotNull()).distinct()
-    return anti_join(names, "file_name", distinct_keys_of(audit, audit_col)).orderBy("file_name")
+    return anti_join(names, "file_name", distinct_keys_of(audit, audit_col), keep_null_left=False).orderBy("file_name")
 
 
-def row_growth(events: DataFrame, ts: str = "loaded_at") -> DataFrame:
+def _from_midnight(df: DataFrame, ts: str, asof, days: int | None, extra: int, date_col: str | None) -> DataFrame:
+    """Rows since midnight ``days + extra`` days before ``asof`` (all rows when ``days`` is None)."""
+    if days is None:
+        return df
+    return df.filter(at_or_after(ts, F.to_date(since(asof, days + extra, "day")).cast("timestamp_ntz"), date_col))
+
+
+def row_growth(events: DataFrame, ts: str = "loaded_at", asof=None, days: int | None = None,
+               date_col: str | None = None) -> DataFrame:
     """Rows per day against the previous calendar day (NULL when that day had none).
 
+    With ``days`` only the last days before ``asof`` are reported, and one more day is
+    read; rows without a load time form a day of their own, with no prior day, and
+    are outside any look-back.
+
     One pass: the daily counts are computed once, and each day's count is
     also emitted as the "prior" count of the next calendar day; a second
     aggregate over these (days x 2) rows lines them up. No self-join (which
     would scan the input twice) and no unpartitioned window.
     """
-    daily = events.groupBy(F.to_date(ts).alias("load_date")).agg(F.count(F.lit(1)).alias("_n"))
-    pairs = daily.select(F.explode(F.array(
-        F.struct(F.col("load_date").alias("d"), F.col("_n").alias("cur"), F.lit(None).cast("bigint").alias("prev")),
-        F.struct(F.date_add("load_date", 1).alias("d"), F.lit(None).cast("bigint").alias("cur"),
-                 F.col("_n").alias("prev")))).alias("p")).select("p.*")
+    recent = _from_midnight(events, ts, asof, days, 1, date_col)
+    daily = recent.groupBy(F.to_date(ts).alias("load_date")).agg(F.count(F.lit(1)).alias("_n"))
+    out = _growth(daily)
+    if days is not None:
+        out = out.filter(F.col("load_date") >= F.to_date(since(asof, days, "day")))
+    return out.orderBy(F.asc_nulls_last("load_date"))
+
+
+def _growth(daily: DataFrame) -> DataFrame:
+    """Daily counts (load_date, _n) beside those of the calendar day before."""
+    today = F.struct(F.col("load_date").alias("d"), F.col("_n").alias("cur"), F.lit(None).cast("bigint").alias("prev"))
+    next_day = F.struct(F.date_add("load_date", 1).alias("d"), F.lit(None).cast("bigint").alias("cur"),
+                        F.col("_n").alias("prev"))
+    both = F.when(F.col("load_date").isNull(), F.array(today)).otherwise(F.array(today, next_day))
+    pairs = daily.select(F.explode(both).alias("p")).select("p.*")
     lined = (pairs.groupBy(F.col("d").alias("load_date"))
                   .agg(F.max("cur").alias("row_count"), F.max("prev").alias("prior_row_count"))
                   .filter(F.col("row_count").isNotNull()))
     change = F.col("row_count") - F.col("prior_row_count")
-    return (lined.select("load_date", "row_count", "prior_row_count", change.alias("row_change"),
-                         (change.cast("double") / F.col("prior_row_count")).alias("change_ratio"))
-                 .orderBy(F.asc_nulls_last("load_date")))
+    return lined.select("load_date", "row_count", "prior_row_count", change.alias("row_change"),
+                        (change.cast("double") / F.col("prior_row_count")).alias("change_ratio"))
 
 
 def unmatched_rate(events: DataFrame, stg: DataFrame, key: str = "provider_id",
@@ -176,14 +202,17 @@ def unmatched_rate(events: DataFrame, stg: DataFrame, key: str = "provider_id",
 
 def daily_anomalies(df: DataFrame, ts: str, group: str, value: str, factor: float = 2.0,
                     window_days: int = 7, date_alias: str = "usage_date",
-                    value_alias: str = "daily_total") -> DataFrame:
+                    value_alias: str = "daily_total", asof=None, days: int | None = None,
+                    date_col: str | None = None) -> DataFrame:
     """Each day's total against the mean of the previous ``window_days`` calendar days.
 
     The daily totals are exact sums; the look-back is a range frame over the
     day number, partitioned by ``group``, so only per-day aggregates are
     windowed. A day is anomalous when it exceeds ``factor`` times the mean.
+    With ``days`` only the last days before ``asof`` are reported and only
+    ``window_days`` more are read (``date_col``: a date partition column to prune by).
     """
-    daily = df.groupBy(F.to_date(ts).alias(date_alias), group).agg(F.sum(value).alias("_total"))
+    daily = _from_midnight(df, ts, asof, days, window_days, date_col).groupBy(F.to_date(ts).alias(date_alias), group).agg(F.sum(value).alias("_total"))
     w = (Window.partitionBy(group)
                .orderBy(F.unix_date(F.col(date_alias)))
                .rangeBetween(-window_days, -1))
@@ -192,6 +221,8 @@ def daily_anomalies(df: DataFrame, ts: str, group: str, value: str, factor: floa
     out = daily.select(date_alias, group, F.col("_total").cast("double").alias(value_alias),
                        prior_days.alias("prior_days"), prior_sum.alias("_prior_sum"))
     avg = F.when(F.col("prior_days") > 0, F.col("_prior_sum").cast("double") / F.col("prior_days"))
+    if days is not None:
+        out = out.filter(F.col(date_alias) >= F.to_date(since(asof, days, "day")))
     return (out.withColumn("prior_avg", avg)
                .withColumn("is_anomaly", F.coalesce(F.col(value_alias) > F.lit(factor) * F.col("prior_avg"),
                                                     F.lit(False)))
@@ -199,26 +230,35 @@ def daily_anomalies(df: DataFrame, ts: str, group: str, value: str, factor: floa
                .orderBy(date_alias, group))
 
 
-def usage_anomalies(metering: DataFrame, factor: float = 2.0, window_days: int = 7) -> DataFrame:
+def usage_anomalies(metering: DataFrame, factor: float = 2.0, window_days: int = 7, asof=None,
+                    days: int | None = None, date_col: str | None = None) -> DataFrame:
     """Daily credits per warehouse vs the prior week."""
     return daily_anomalies(metering, "start_time", "warehouse_name", "credits_used", factor, window_days,
-                           "usage_date", "credits_used")
+                           "usage_date", "credits_used", asof, days, date_col)
 
 
-def bytes_anomalies(history: DataFrame, factor: float = 2.0, window_days: int = 7) -> DataFrame:
+def bytes_anomalies(history: DataFrame, factor: float = 2.0, window_days: int = 7, asof=None,
+                    days: int | None = None, date_col: str | None = None) -> DataFrame:
     """Daily bytes scanned per warehouse vs the prior week (unusual-bytes alert)."""
     return daily_anomalies(history, "start_time", "warehouse_name", "bytes_scanned", factor, window_days,
-                           "run_date", "bytes_scanned")
+                           "run_date", "bytes_scanned", asof, days, date_col)
 
 
 def credit_quota_status(metering: DataFrame, quota: float = QUOTA_CREDITS,
-                        levels: Sequence[int] = QUOTA_LEVELS) -> DataFrame:
+                        levels: Sequence[int] = QUOTA_LEVELS, asof=None, days: int | None = None,
+                        date_col: str | None = None) -> DataFrame:
     """Month-to-date credits per warehouse and day, with the quota level reached.
 
     Levels (percent of the monthly quota): the highest level reached is
-    reported; reaching the last level means SUSPEND, the others NOTIFY.
+    reported; reaching the last level means SUSPEND, the others NOTIFY. With
+    ``days`` only the last days before ``asof`` are reported, and the log is
+    read from the first of their first month.
     """
-    daily = (metering.groupBy(F.to_date("start_time").alias("usage_date"), "warehouse_name")
+    recent = metering
+    if days is not None:
+        first = F.trunc(F.to_date(since(asof, days, "day")), "month").cast("timestamp_ntz")
+        recent = metering.filter(at_or_after("start_time", first, date_col))
+    daily = (recent.groupBy(F.to_date("start_time").alias("usage_date"), "warehouse_name")
                      .agg(F.sum("credits_used").alias("_credits"))
                      .withColumn("usage_month", F.trunc("usage_date", "month")))
     w = (Window.partitionBy("warehouse_name", "usage_month").orderBy("usage_date")
@@ -226,6 +266,8 @@ def credit_quota_status(metering: DataFrame, quota: float = QUOTA_CREDITS,
     out = daily.select("usage_month", "usage_date", "warehouse_name",
                        F.col("_credits").cast("double").alias("credits_used"),
                        F.sum("_credits").over(w).cast("double").alias("month_to_date_credits"))
+    if days is not None:
+        out = out.filter(F.col("usage_date") >= F.to_date(since(asof, days, "day")))
     pct = F.col("month_to_date_credits") * F.lit(100.0) / F.lit(float(quota))
     out = out.withColumn("quota_used_pct", pct)
     lv = sorted(levels)
@@ -239,11 +281,14 @@ def credit_quota_status(metering: DataFrame, quota: float = QUOTA_CREDITS,
     return out.withColumn("quota_action", action).orderBy("usage_date", "warehouse_name")
 
 
-def long_running_queries(history: DataFrame, max_seconds: float = 300) -> DataFrame:
-    """Queries that ran longer than the runtime limit, longest first."""
-    return (history.filter(F.col("total_elapsed_time") > F.lit(max_seconds * 1000))
-                   .select("query_id", "user_name", "warehouse_name", "start_time", "total_elapsed_time")
-                   .orderBy(F.desc("total_elapsed_time"), "query_id"))
+def long_running_queries(history: DataFrame, max_seconds: float = 300, asof=None, days: int | None = None,
+                         date_col: str | None = None) -> DataFrame:
+    """Queries that ran longer than the runtime limit (in the last ``days``), longest first."""
+    if days is not None:
+        history = history.filter(in_lookback("start_time", asof, days, "day", date_col))
+    slow = (history.filter(F.col("total_elapsed_time") > F.lit(max_seconds * 1000))
+                   .select("query_id", "user_name", "warehouse_name", "start_time", "total_elapsed_time"))
+    return listing(slow, "query_id", F.desc("total_elapsed_time"), "query_id")
 
 
 def incident_checklist(staging: DataFrame, curated: DataFrame, audit: DataFrame, string_source: DataFrame, metering: DataFrame, asof=None,
@@ -252,16 +297,21 @@ def incident_checklist(staging: DataFrame, curated: DataFrame, audit: DataFrame,
 
     Columns: check_no, check_name, metric (double), passed (boolean). Every
     metric is a one-row aggregate; they are combined as scalar subqueries
-    and stacked, so the plan has no join and no wide intermediate.
+    and stacked, so the plan has no join and no wide intermediate. Staging is read once:
+    the daily counts and the keyed pass share one aggregate by key and load day. The
+    metering log is read from a window before the reported day on.
     """
     missing = missing_load_days(audit).agg(F.count(F.lit(1)).cast("double").alias("m2"))
-    growth = (row_growth(staging).filter(F.col("prior_row_count").isNotNull())
+    by_key_day = staging.groupBy("event_id", F.to_date("loaded_at").alias("load_date")).agg(
+        F.count(F.lit(1)).alias("_n"), F.count_if(F.col("provider_id").isNull()).alias("_nulls"),
+        F.max("loaded_at").alias("_latest"))
+    daily = by_key_day.groupBy("load_date").agg(F.sum("_n").alias("_n"))
+    growth = (_growth(daily).filter(F.col("prior_row_count").isNotNull())
               .agg(F.max_by("row_count", "load_date").alias("_r"), F.max_by("prior_row_count", "load_date").alias("_p"))
               .select((F.col("_r").cast("double") / F.col("_p")).alias("m4")))
-    # one keyed pass over staging answers questions 1, 3, 5, 6 and 8
-    per_key = staging.groupBy("event_id").agg(F.count(F.lit(1)).alias("_n"),
-                                              F.count_if(F.col("provider_id").isNull()).alias("_nulls"),
-                                              F.max("loaded_at").alias("_key_latest"))
+    # the keyed pass answers questions 1, 3, 5, 6 and 8
+    per_key = by_key_day.groupBy("event_id").agg(F.sum("_n").alias("_n"), F.sum("_nulls").alias("_nulls"),
+                                                 F.max("_latest").alias("_key_latest"))
     keys_ = per_key.agg(F.count_if(F.col("_n") > 1).cast("double").alias("m5"),
                         F.coalesce(F.sum("_nulls"), F.lit(0)).cast("double").alias("m6"),
                         F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("double").alias("m8"),
@@ -275,7 +325,7 @@ def incident_checklist(staging: DataFrame, curated: DataFrame, audit: DataFrame,
     grain = curated.agg(F.coalesce(F.sum("event_count"), F.lit(0)).alias("_curated_sum"),
                         F.count(F.lit(1)).alias("_groups"),
                         F.count_distinct(F.struct("event_date", "event_type", "status")).alias("_distinct_groups"))
-    anomalies = (usage_anomalies(metering).filter(F.col("usage_date") >= F.to_date(since(asof, 1, "day")))
+    anomalies = (usage_anomalies(metering, asof=asof, days=1)
                  .agg(F.count_if(F.col("is_anomaly")).cast("double").alias("m10")))
     # every input is a global aggregate: exactly one row each, even when empty
     row = attach_scalars(keys_, missing, growth, invalid, grain, anomalies)

@@ -3,8 +3,8 @@
 Spark plans ``x NOT IN (subquery)`` as a null-aware anti join that always
 broadcasts the subquery side -- here the *event* table, which grows with the
 data. ``not_in_keys`` rebuilds the exact three-valued semantics from pieces
-that scale: the de-duplicated event keys (partial aggregate, so hot keys
-collapse map-side), a one-row flag aggregate used as scalar subqueries (no
+that scale: one aggregate by event key (partial, so hot keys collapse
+map-side), a one-row flag aggregate over it used as a scalar subquery (no
 broadcast of data, no join), and an ordinary anti join that the planner may
 shuffle.
 """
@@ -14,16 +14,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from freshet.operators.joins import anti_join, attach_scalars, distinct_keys_of
+from freshet.operators.joins import anti_join, attach_scalars, distinct_keys_of, listing
 
 EVENT_COLUMNS = ["event_id", "provider_id", "event_type", "status", "event_timestamp", "loaded_at"]
 
 
 def null_key_records(events: DataFrame, key: str = "provider_id") -> DataFrame:
     """B2: events with a NULL key, newest load first."""
-    return (events.filter(F.col(key).isNull())
-                  .select(*EVENT_COLUMNS)
-                  .orderBy(F.desc_nulls_last("loaded_at"), F.asc_nulls_last("event_id")))
+    return listing(events.filter(F.col(key).isNull()).select(*EVENT_COLUMNS), "event_id",
+                   F.desc_nulls_last("loaded_at"), F.asc_nulls_last("event_id"))
 
 
 def null_key_count(events: DataFrame, key: str = "provider_id", alias: str = "null_provider_ids") -> DataFrame:
@@ -40,7 +39,7 @@ def unmatched_providers(events: DataFrame, dim: DataFrame, key: str = "provider_
     """Events whose non-NULL key is missing from the lookup, newest event first."""
     cols = ["event_id", key, "event_type", "status", "event_timestamp"]
     rows = anti_join(events.select(*cols), key, distinct_keys_of(dim, key), keep_null_left=False)
-    return rows.orderBy(F.desc_nulls_last("event_timestamp"), F.asc_nulls_last("event_id"))
+    return listing(rows, "event_id", F.desc_nulls_last("event_timestamp"), F.asc_nulls_last("event_id"))
 
 
 def missing_keys(dim: DataFrame, events: DataFrame, key: str = "provider_id") -> DataFrame:
@@ -50,56 +49,49 @@ def missing_keys(dim: DataFrame, events: DataFrame, key: str = "provider_id") ->
 
 def orphan_events(events: DataFrame, dim: DataFrame, key: str = "provider_id") -> DataFrame:
     """Event keys with no lookup row (``NOT EXISTS``); NULL keys are returned."""
-    return anti_join(events.select(key), key, distinct_keys_of(dim, key))
+    return anti_join(events.select(key, "event_id"), key, distinct_keys_of(dim, key), spread=["event_id"]).select(key)
 
 
-def _inner_keys(events: DataFrame, key: str, drop_null_inner: bool) -> DataFrame:
-    inner = events.select(F.col(key).alias("_k"))
-    return inner.filter(F.col("_k").isNotNull()) if drop_null_inner else inner
+def _keyed(events: DataFrame, key: str) -> DataFrame:
+    """One row per event key, the NULL key included, with its row count: the only pass over the events."""
+    return events.groupBy(F.col(key).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
 
 
-def _inner_flags(inner: DataFrame) -> DataFrame:
-    """One row: inner row count and inner rows whose key is NULL.
-
-    A global aggregate (one partial row per map task, no keyed shuffle), so
-    the keyed de-duplication feeding the anti join is computed only once.
-    """
-    return inner.agg(F.count(F.lit(1)).alias("_inner_rows"),
-                     F.count_if(F.col("_k").isNull()).alias("_null_rows"))
+def _flags(keyed: DataFrame) -> DataFrame:
+    """One row: inner row count and inner rows whose key is NULL, from the keyed aggregate."""
+    return keyed.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("_inner_rows"),
+                     F.coalesce(F.sum(F.when(F.col("_k").isNull(), F.col("_n"))), F.lit(0)).alias("_null_rows"))
 
 
-def not_in_keys(dim: DataFrame, events: DataFrame, key: str = "provider_id",
-                drop_null_inner: bool = False) -> DataFrame:
-    """C11 (and C12 with ``drop_null_inner``): ``dim.key NOT IN (SELECT key FROM events)``.
+def not_in_keys(dim: DataFrame, events: DataFrame, key: str = "provider_id") -> DataFrame:
+    """C11: ``dim.key NOT IN (SELECT key FROM events)``.
 
     Exact three-valued semantics: an empty subquery keeps every row (NULL
     outer keys too); otherwise a NULL outer key, or any NULL in the
-    subquery, makes the predicate UNKNOWN and the row is dropped.
+    subquery, makes the predicate UNKNOWN and the row is dropped. The flags and
+    the anti join read the same keyed aggregate, whose exchange Spark reuses.
     """
-    inner = _inner_keys(events, key, drop_null_inner)
-    flags = _inner_flags(inner)  # one row by construction: two scalar subqueries, evaluated once
-    inner_rows, null_rows = flags.select("_inner_rows").scalar(), flags.select("_null_rows").scalar()
-    candidates = anti_join(dim.select(key), key, inner.distinct())
-    return candidates.filter((inner_rows == 0) | ((null_rows == 0) & F.col(key).isNotNull())).select(key)
+    keyed = _keyed(events, key)
+    candidates = attach_scalars(anti_join(dim.select(key), key, keyed), _flags(keyed))
+    return candidates.filter((F.col("_inner_rows") == 0)
+                             | ((F.col("_null_rows") == 0) & F.col(key).isNotNull())).select(key)
 
 
 def not_in_non_null(dim: DataFrame, events: DataFrame, key: str = "provider_id") -> DataFrame:
     """``NOT IN (SELECT key FROM events WHERE key IS NOT NULL)``."""
-    return not_in_keys(dim, events, key, drop_null_inner=True)
+    return not_in_keys(dim, events.filter(F.col(key).isNotNull()), key)
 
 
 def exclusion_comparison(dim: DataFrame, events: DataFrame, key: str = "provider_id") -> DataFrame:
     """One row -- NOT IN count, NOT EXISTS count and NULL-key count side by side.
 
     The anti join is shared by both exclusions; the NULL count comes from the
-    same global aggregate that decides the NOT IN semantics.
+    same keyed aggregate that decides the NOT IN semantics.
     """
-    inner = _inner_keys(events, key, drop_null_inner=False)
-    flags = _inner_flags(inner)
-    candidates = anti_join(dim.select(key), key, inner.distinct())
-    cand = candidates.agg(F.count(F.lit(1)).alias("not_exists_count"),
-                          F.count_if(F.col(key).isNotNull()).alias("_cand_non_null"))
-    return (attach_scalars(cand, flags)
+    keyed = _keyed(events, key)
+    cand = anti_join(dim.select(key), key, keyed).agg(F.count(F.lit(1)).alias("not_exists_count"),
+                                                      F.count_if(F.col(key).isNotNull()).alias("_cand_non_null"))
+    return (attach_scalars(cand, _flags(keyed))
                 .select(F.when(F.col("_inner_rows") == 0, F.col("not_exists_count"))
                          .when(F.col("_null_rows") > 0, F.lit(0).cast("bigint"))
                          .otherwise(F.col("_cand_non_null")).alias("not_in_count"),

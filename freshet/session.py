@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Settings the operators rely on. UTC makes TIMESTAMP_NTZ arithmetic and
@@ -55,26 +52,4 @@ def build_session(master: str | None = None, app_name: str = "freshet",
     for key, value in conf.items():
         if key.startswith("spark.sql."):
             spark.conf.set(key, value)
-    ensure_checkpoint_dir(spark)
     return spark
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
-    """Return the shared checkpoint folder the cluster names, if any.
-
-    A cluster sets ``spark.checkpoint.dir`` to a shared location and it is
-    used as is. Only a local-mode session (tests, local bench) with no
-    setting gets a fresh scratch folder; on a cluster nothing machine-local
-    is ever set.
-    """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if current:
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(current)
-        return current
-    if not sc.master.startswith("local"):
-        return None
-    path = tempfile.mkdtemp(prefix="freshet-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(path)
-    return path

@@ -41,8 +41,7 @@ def test_curated_from_sample(events_10):
     assert sum(r[3] for r in got) == 10
     twos = [r for r in got if r[3] == 2]
     assert twos == [(dt.date(2026, 7, 22), "CLAIM", "COMPLETE", 2)]
-    assert cur.schema == schemas.CURATED_DAILY_EVENTS or [f.name for f in cur.schema] == \
-        [f.name for f in schemas.CURATED_DAILY_EVENTS]
+    assert [(f.name, f.dataType) for f in cur.schema] == [(f.name, f.dataType) for f in schemas.CURATED_DAILY_EVENTS]
 
 
 def test_curated_rollups(events_10):

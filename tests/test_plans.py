@@ -6,7 +6,8 @@ import re
 
 import pytest
 
-from freshet.operators import baseline, duplicates, exclusion, explorer, freshness, usage
+from freshet.operators import baseline, controls, duplicates, exclusion, explorer, freshness, keys, usage
+from freshet.sources import sinks
 from freshet.sources import tables as T
 from freshet.streaming import incremental
 from tests.helpers import plan_text
@@ -70,19 +71,37 @@ def test_summary_scans_staging_once(spark):
     ev = T.staging_events(spark, SF)
     cur = spark.createDataFrame([], "event_date date, event_type string, status string, event_count long")
     plan = plan_text(freshness.summary_metrics(ev, cur))
-    assert plan.count("Scan parquet") == 1
+    assert len(re.findall(r"(?m)^\(\d+\) Scan parquet", plan)) == 1
     assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
 
 
-def test_null_keys_skip_the_join_shuffle(spark, no_auto_broadcast):
-    plan = plan_text(exclusion.orphan_events(T.staging_events(spark, SF), T.dim_provider_lookup(spark, SF)))
+@pytest.mark.parametrize("build", [
+    lambda ev, dim, src: exclusion.orphan_events(ev, dim), lambda ev, dim, src: keys.naive_unmatched(ev, src),
+    lambda ev, dim, src: keys.safe_join(ev, src), lambda ev, dim, src: keys.safe_join(ev, src, trim=False),
+    lambda ev, dim, src: keys.stg_provider_join(ev, keys.stg_provider(src)),
+    lambda ev, dim, src: keys.stg_unmatched(ev, keys.stg_provider(src))])
+def test_null_keys_are_salted_in_one_scan(spark, no_auto_broadcast, build):
+    plan = plan_text(build(T.staging_events(spark, SF), T.dim_provider_lookup(spark, SF), T.provider_string_source(spark, SF)))
     head = plan.split("\n\n")[0]
-    assert "Union" in head and "SortMergeJoin LeftAnti" in head
-    # two shuffles: the non-NULL left keys, and the de-duplicated lookup keys
-    # (whose aggregate partitioning the join reuses); the NULL branch is a scan
-    assert head.count("Exchange") == 2
-    null_branch = head[head.rindex("+- Project"):]
-    assert "Exchange" not in null_branch and "Scan parquet" in null_branch
+    assert "Union" not in head and head.count("SortMergeJoin") == 1
+    assert len(re.findall(r"(?m)^Location:.*events\.parquet", plan)) == 1
+    # the left side is dealt by (key, salt)
+    assert re.search(r"hashpartitioning\([^)]*__ls", plan)
+
+
+def test_controls_read_only_their_window(spark):
+    asof = "2024-01-31 00:00:00"
+    metering, history = T.warehouse_metering_history(spark, SF), T.query_history(spark, SF)
+    for df in (controls.usage_anomalies(metering, asof=asof, days=1), controls.credit_quota_status(metering, asof=asof, days=3),
+               controls.long_running_queries(history, 60, asof=asof, days=1), controls.bytes_anomalies(history, asof=asof, days=1)):
+        assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(ts,", plan_text(df))
+
+
+def test_controls_prune_date_partitions(spark, scratch):
+    path = sinks.write_date_partitioned(T.warehouse_metering_history(spark, SF), f"{scratch}/metering", "start_time", "start_date")
+    stored = spark.read.parquet(path)
+    plan = plan_text(controls.usage_anomalies(stored, asof="2024-01-31 00:00:00", days=1, date_col="start_date"))
+    assert re.search(r"PartitionFilters: \[[^\]]*start_date", plan)
 
 
 def test_curated_is_partial_then_final_aggregate(spark):

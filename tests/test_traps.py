@@ -42,7 +42,15 @@ def test_format_ts_truncates_and_defaults(spark):
     assert rows(df) == [("2024-01-02 03:04:05", "No load found")]
 
 
-def test_lookback_is_inclusive_and_pushed_down(spark):
+def test_rows_without_a_load_time_have_no_prior_day(spark):
+    from freshet.operators import controls
+    df = spark.createDataFrame([(None,), (None,), (dt.datetime(2024, 1, 1),), (dt.datetime(2024, 1, 2),), (dt.datetime(2024, 1, 2),)],
+                               "loaded_at timestamp_ntz")
+    assert rows(controls.row_growth(df)) == [(dt.date(2024, 1, 1), 1, None, None, None), (dt.date(2024, 1, 2), 2, 1, 1, 1.0),
+                                             (None, 2, None, None, None)]
+
+
+def test_lookback_is_inclusive(spark):
     df = spark.createDataFrame([(dt.datetime(2024, 1, 30),), (dt.datetime(2024, 1, 29, 23, 59),)], "ts timestamp_ntz")
     assert df.filter(F.col("ts") >= since("2024-01-31 00:00:00", 1, "day")).count() == 1
 
