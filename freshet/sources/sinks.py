@@ -2,17 +2,21 @@
 
 Never overwrite the path a job is reading: Spark does not refuse, and a
 failure mid-write loses the table. ``replace_table`` writes a complete new
-copy beside the target first, then swaps directories, so readers see either
-the old or the new table and a lost executor only costs a retry of the write.
-The swap uses the Hadoop FileSystem of the target path, so it works on any
-shared file system the cluster uses.
+copy beside the target first and then swaps directories by two renames, so a
+lost executor only costs a retry of the write. Between the two renames the path
+doesn't exist: a reader that lists it just then fails and must retry. A driver
+that dies there leaves the old copy beside the path, and the next call (or
+``recover_table``) moves it back. On an object store a rename is a copy; keep such
+tables in a format with its own commit log.
 """
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from freshet.sources import schemas
 
@@ -23,15 +27,43 @@ def _fs(spark: SparkSession, path: str):
     return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath
 
 
+def scratch_table(df: DataFrame, name: str) -> str:
+    """Store ``df`` as a new table in the shared folder of ``spark.checkpoint.dir``; returns its path.
+
+    Only a local session without that setting gets a scratch folder of its own.
+    """
+    spark = df.sparkSession
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        shared = tempfile.mkdtemp(prefix="freshet-shared-")
+        spark.conf.set("spark.checkpoint.dir", shared)
+    path = f"{shared}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return path
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     fs, jpath = _fs(spark, path)
     return bool(fs.exists(jpath))
 
 
+def recover_table(spark: SparkSession, path: str) -> bool:
+    """Undo a swap that died between its renames: move the old copy back if the table is gone."""
+    fs, target = _fs(spark, path)
+    if fs.exists(target):
+        return False
+    _, pattern = _fs(spark, f"{path.rstrip('/')}.__old-*")
+    left = sorted(fs.globStatus(pattern) or [], key=lambda s: s.getModificationTime())
+    return bool(left) and bool(fs.rename(left[-1].getPath(), target))
+
+
 def replace_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
                   fmt: str = "parquet") -> str:
     """Replace the table at ``path`` with ``df`` (which may read ``path``)."""
     spark = df.sparkSession
+    recover_table(spark, path)
     token = uuid.uuid4().hex[:12]
     staging = f"{path.rstrip('/')}.__new-{token}"
     writer = df.write.mode("errorifexists").format(fmt)
@@ -63,10 +95,27 @@ def write_date_partitioned(df: DataFrame, path: str, ts_col: str, date_col: str)
     """Store ``df`` partitioned by the date of ``ts_col`` (a new ``date_col`` column).
 
     Look-back and watermark operators given ``date_col`` then prune whole
-    date partitions from the literal bound, on top of row-group skipping.
+    date partitions from the literal bound, on top of row-group skipping. Rows are
+    rebalanced by date first: about one file a date on small data, and AQE splits
+    hot dates into several files of the advisory size.
     """
-    from pyspark.sql import functions as F
-    return replace_table(df.withColumn(date_col, F.to_date(ts_col)), path, partition_by=[date_col])
+    dated = df.withColumn(date_col, F.to_date(ts_col)).hint("rebalance", date_col)
+    return replace_table(dated, path, partition_by=[date_col])
+
+
+def replace_partitions(df: DataFrame, path: str, date_col: str) -> str:
+    """Replace exactly the date partitions that ``df`` holds (``merge_upsert`` with ``date_col``).
+
+    ``df`` may read those partitions: it is stored beside the table first.
+    """
+    spark = df.sparkSession
+    staging = f"{path.rstrip('/')}.__new-{uuid.uuid4().hex[:12]}"
+    df.hint("rebalance", date_col).write.mode("errorifexists").parquet(staging)
+    (spark.read.schema(df.schema).parquet(staging).write.mode("overwrite")
+          .option("partitionOverwriteMode", "dynamic").partitionBy(date_col).parquet(path))
+    fs, new = _fs(spark, staging)
+    fs.delete(new, True)
+    return path
 
 
 def export_csv(df: DataFrame, path: str) -> str:

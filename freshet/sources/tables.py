@@ -124,13 +124,19 @@ def warehouse_metering_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pipeline_control(spark: SparkSession, sf_dir: str | None = None) -> DataFrame:
-    """The high-water-mark control table: one row per pipeline."""
-    return spark.range(1).select(
-        F.lit(CONTROL_PIPELINE).alias("pipeline_name"),
-        ntz(TARGET_CUTOFF).alias("last_successful_timestamp"),
+    """The high-water-mark control table: one row per pipeline (the second is not ours to move)."""
+    return spark.range(2).select(
+        F.when(F.col("id") == 0, F.lit(CONTROL_PIPELINE)).otherwise(F.lit("USAGE_PIPELINE")).alias("pipeline_name"),
+        F.when(F.col("id") == 0, ntz(TARGET_CUTOFF)).otherwise(ntz("2024-01-15 00:00:00")).alias("last_successful_timestamp"),
     )
 
 
+def staging_events_unloaded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``staging_events`` where events of type ``error`` have no load time."""
+    return staging_events(spark, sf_dir).withColumn(
+        "loaded_at", F.when(F.col("event_type") == "error", F.lit(None)).otherwise(F.col("loaded_at")))
+
+
 def load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One audit row per daily load batch of ``staging_events``; day 13 is missing."""
     st = staging_events(spark, sf_dir).select("loaded_at")

@@ -9,7 +9,7 @@ an incremental run reads only the new slice, which is the point of the fix.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from freshet.functions import asof_or_now, at_or_after, in_lookback, ntz, since
@@ -102,15 +102,25 @@ def processed_window(target: DataFrame, asof=None, hours: int = 1, date_col: str
                        F.count(F.lit(1)).alias("rows_processed")))
 
 
+def first_per_key(batch: DataFrame, key: str, order: str) -> DataFrame:
+    """The earliest row of each key in one pass; rows with a NULL key are all kept, dealt out by a hash."""
+    others = [c for c in batch.columns if c not in (key, order)]
+    salt = F.when(F.col(key).isNull(), F.xxhash64(*batch.columns)).otherwise(F.lit(0).cast("bigint"))
+    first = Window.partitionBy(key, "_salt").orderBy(F.asc_nulls_last(order), *[F.asc_nulls_last(c) for c in others])
+    return (batch.withColumn("_salt", salt).withColumn("_rn", F.row_number().over(first))
+                 .filter((F.col("_rn") == 1) | F.col(key).isNull()).drop("_salt", "_rn"))
+
+
 def load_increment(spark, source: DataFrame, target_path: str, control_path: str, pipeline: str,
                    key: str = "event_id", col: str = "event_timestamp", date_col: str | None = None) -> dict:
     """One incremental run: new slice -> idempotent append -> advance the watermark.
 
     1. read the stored watermark (one value) and filter the source with it
        as a literal (pushed down; partitions pruned when ``date_col`` is set);
-    2. append only rows whose key is not yet in the target (anti join against
-       the target's de-duplicated keys), so a rerun after a failure between
-       steps 2 and 3 appends nothing twice;
+    2. keep one row per key of the slice (its earliest load), then append only those
+       whose key is not yet in the target, so a rerun after a failure between
+       steps 2 and 3 appends nothing twice. Such rows are above the old mark, so only
+       that part of the target is read (partitions pruned by ``date_col``);
     3. only then write the advanced control table (new copy, then swap); the
        new mark is the maximum now stored in the target above the old mark.
 
@@ -126,8 +136,11 @@ def load_increment(spark, source: DataFrame, target_path: str, control_path: str
     control = sinks.read_control(spark, control_path)
     before = read_watermark(control, pipeline)
     batch = incremental_by_control(source, control, pipeline, col=col, date_col=date_col)
+    batch = first_per_key(batch, key, "loaded_at" if "loaded_at" in batch.columns else col)
     if sinks.path_exists(spark, target_path):
         existing = spark.read.schema(batch.schema).parquet(target_path)
+        if before is not None:
+            existing = existing.filter(at_or_after(col, ntz(before), date_col, inclusive=False))
         batch = anti_join(batch, key, distinct_keys_of(existing, key))
     batch.write.mode("append").parquet(target_path)
     stored = spark.read.parquet(target_path)

@@ -71,7 +71,7 @@ def test_append_default_load_ts(spark):
                                 "event_id long, provider_id long, event_type string, status string, "
                                 "event_timestamp timestamp_ntz")
     out = incremental.append_with_default_load_ts(base, new, "2026-07-25 01:00:00")
-    assert out.schema == schemas.STAGING_EVENTS or out.columns == base.columns
+    assert [(f.name, f.dataType) for f in out.schema] == [(f.name, f.dataType) for f in schemas.STAGING_EVENTS]
     r = out.filter(F.col("event_id") == 11).collect()[0]
     assert r["loaded_at"] == dt.datetime(2026, 7, 25, 1, 0)
     assert out.count() == 11
@@ -96,6 +96,74 @@ def test_incremental_load_job_is_idempotent_across_a_failed_run(spark, scratch):
     assert r3["watermark_before"] == r3["watermark_after"] and spark.read.parquet(target).count() == 10
 
 
+def test_load_increment_stores_one_row_per_key(spark, scratch):
+    from freshet.sources import tables as T
+    sf = "/root/testdata/sf0.001"
+    target, control = os.path.join(scratch, "target"), os.path.join(scratch, "control")
+    src = T.staging_events_dup(spark, sf)
+    n = src.select("event_id").distinct().count()
+    incremental.load_increment(spark, src, target, control, "EVENT_PIPELINE")
+    assert src.count() > n == spark.read.parquet(target).count()
+    # a run that stored its slice but died before moving the mark is rerun
+    late = src.withColumn("event_timestamp", F.col("event_timestamp") + F.expr("INTERVAL 60 DAYS")).withColumn("event_id", F.col("event_id") + 10**9)
+    half = incremental.first_per_key(late.filter("event_id % 2 = 0"), "event_id", "loaded_at")
+    half.write.mode("append").parquet(target)
+    incremental.load_increment(spark, late, target, control, "EVENT_PIPELINE")
+    stored = spark.read.parquet(target)
+    assert stored.count() == 2 * n and duplicates.duplicate_keys(stored).count() == 0
+
+
+def test_a_swap_that_died_is_undone(spark, scratch):
+    path = os.path.join(scratch, "t")
+    sinks.write_full_refresh(seeds.seed_events(spark), path)
+    os.rename(path, path + ".__old-abc")  # the crash left no table
+    assert sinks.recover_table(spark, path) and spark.read.parquet(path).count() == 10
+    os.rename(path, path + ".__old-def")
+    sinks.replace_table(seeds.seed_events(spark).filter("event_id > 5"), path)
+    assert spark.read.parquet(path).count() == 5 and not glob.glob(path + ".__*")
+
+
+def test_date_partitions_get_about_one_file_each(spark, scratch):
+    from freshet.sources import tables as T
+    path = sinks.write_date_partitioned(T.staging_events(spark, "/root/testdata/sf0.001").repartition(8),
+                                        os.path.join(scratch, "dated"), "event_timestamp", "event_date")
+    dates = glob.glob(path + "/event_date=*")
+    assert len(glob.glob(path + "/event_date=*/*.parquet")) <= 2 * len(dates)
+
+
+def test_merge_rewrites_only_the_batch_partitions(spark, scratch):
+    from freshet.operators import controls
+    dated = seeds.seed_events(spark).withColumn("event_date", F.to_date("event_timestamp"))
+    path = os.path.join(scratch, "merged")
+    dated.write.partitionBy("event_date").parquet(path)
+    target = spark.read.parquet(path).select(*dated.columns)
+    batch = dated.filter("event_id >= 8").withColumn("status", F.lit("NEW"))
+    merged = controls.merge_upsert(target, batch.unionByName(batch), date_col="event_date")
+    before = {f: os.path.getmtime(f) for f in glob.glob(path + "/event_date=*/*.parquet")}
+    sinks.replace_partitions(merged, path, "event_date")
+    again = spark.read.parquet(path)
+    assert again.count() == 10 and again.filter("status = 'NEW'").count() == 3
+    touched = {os.path.dirname(f) for f in before if not os.path.exists(f)}
+    days = {f"{path}/event_date={r[0]}" for r in batch.select("event_date").distinct().collect()}
+    assert touched and touched <= {d for d in {os.path.dirname(f) for f in before} if d >= min(days)}
+
+
+def test_declared_readers(spark, scratch):
+    import pytest
+
+    from freshet.sources import readers
+    from freshet.sources import tables as T
+    path = os.path.join(scratch, "log")
+    T.warehouse_metering_history(spark, "/root/testdata/sf0.001").withColumn("extra", F.lit(1)).write.parquet(path)
+    got = readers.read_metering(spark, path)
+    assert [(f.name, f.dataType) for f in got.schema] == [(f.name, f.dataType) for f in schemas.WAREHOUSE_METERING_HISTORY]
+    with pytest.raises(readers.SchemaMismatch, match="query_id is missing"):
+        readers.read_query_history(spark, path)
+    T.warehouse_metering_history(spark, "/root/testdata/sf0.001").withColumn("credits_used", F.col("credits_used").cast("double")).write.parquet(path + "2")
+    with pytest.raises(readers.SchemaMismatch, match="credits_used is double"):
+        readers.read_metering(spark, path + "2")
+
+
 def test_file_load_audit_from_landed_files(spark, scratch):
     from freshet.operators import controls, freshness
     from freshet.sources import tables
