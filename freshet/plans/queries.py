@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from freshet.functions import ntz
 from freshet.operators import baseline, controls, duplicates, exclusion, explorer, freshness, keys, usage
 from freshet.plans.views import with_views
+from freshet.sources import readers, sinks
 from freshet.sources import tables as T
 from freshet.streaming import incremental
 
@@ -798,7 +799,8 @@ def q_bytes_anomalies(spark, d):
     return controls.bytes_anomalies(T.query_history(spark, d), ANOMALY_FACTOR)
 
 
-@register("credit_quota_status", """
+def _quota_sql(quota: float) -> str:
+    return f"""
 WITH daily AS (SELECT CAST(start_time AS DATE) AS usage_date, warehouse_name, SUM(credits_used) AS c
                FROM warehouse_metering_history GROUP BY 1, 2),
 m AS (SELECT CAST(date_trunc('month', usage_date) AS DATE) AS usage_month, usage_date, warehouse_name,
@@ -806,12 +808,15 @@ m AS (SELECT CAST(date_trunc('month', usage_date) AS DATE) AS usage_month, usage
              CAST(SUM(c) OVER (PARTITION BY warehouse_name, date_trunc('month', usage_date) ORDER BY usage_date
                                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS month_to_date_credits
       FROM daily),
-p AS (SELECT *, month_to_date_credits * CAST(100.0 AS DOUBLE) / CAST(100.0 AS DOUBLE) AS quota_used_pct FROM m),
+p AS (SELECT *, month_to_date_credits * CAST(100.0 AS DOUBLE) / CAST({quota} AS DOUBLE) AS quota_used_pct FROM m),
 l AS (SELECT *, CASE WHEN quota_used_pct >= 100.0 THEN 100 WHEN quota_used_pct >= 90.0 THEN 90
                      WHEN quota_used_pct >= 75.0 THEN 75 ELSE 0 END AS quota_level FROM p)
 SELECT *, CASE WHEN quota_level >= 100 THEN 'SUSPEND' WHEN quota_level > 0 THEN 'NOTIFY' ELSE 'NONE' END
           AS quota_action
-FROM l ORDER BY usage_date, warehouse_name""", ("warehouse_metering_history",))
+FROM l ORDER BY usage_date, warehouse_name"""
+
+
+@register("credit_quota_status", _quota_sql(100.0), ("warehouse_metering_history",))
 def q_credit_quota_status(spark, d):
     return controls.credit_quota_status(T.warehouse_metering_history(spark, d))
 
@@ -870,3 +875,120 @@ def q_incident_checklist(spark, d):
     return controls.incident_checklist(
         staging, baseline.curated_daily_events(staging), T.load_audit(spark, d),
         T.provider_string_source(spark, d), T.warehouse_metering_history(spark, d), FRESHNESS_ASOF)
+
+
+# --------------------------------------------------------------- cases that reach every branch
+
+_MONTHLY_QUOTA = 1600.0   # near a month's credits of one warehouse: every level is passed on the way
+_TIGHT_FACTOR = 1.1
+
+
+@register("credit_quota_levels", _quota_sql(_MONTHLY_QUOTA), ("warehouse_metering_history",))
+def q_credit_quota_levels(spark, d):
+    return controls.credit_quota_status(T.warehouse_metering_history(spark, d), quota=_MONTHLY_QUOTA)
+
+
+@register("usage_anomalies_tight", _anomaly_sql("warehouse_metering_history", "credits_used", "usage_date")
+          .replace(f"> {ANOMALY_FACTOR} *", f"> {_TIGHT_FACTOR} *"), ("warehouse_metering_history",))
+def q_usage_anomalies_tight(spark, d):
+    return controls.usage_anomalies(T.warehouse_metering_history(spark, d), _TIGHT_FACTOR)
+
+
+@register("bytes_anomalies_recent", f"""
+SELECT * FROM ({_anomaly_sql("query_history", "bytes_scanned", "run_date").replace(f"> {ANOMALY_FACTOR} *", f"> {_TIGHT_FACTOR} *")
+               .replace("ORDER BY run_date, warehouse_name", "")}) z
+WHERE run_date >= CAST({_U} - INTERVAL '7' DAY AS DATE)""", ("query_history",))
+def q_bytes_anomalies_recent(spark, d):
+    return controls.bytes_anomalies(T.query_history(spark, d), _TIGHT_FACTOR, asof=USAGE_ASOF, days=7)
+
+
+@register("long_running_queries_recent", f"""
+SELECT query_id, user_name, warehouse_name, start_time, total_elapsed_time FROM query_history
+WHERE total_elapsed_time > 60000 AND start_time >= {_U} - INTERVAL '7' DAY""", ("query_history",))
+def q_long_running_queries_recent(spark, d):
+    return controls.long_running_queries(T.query_history(spark, d), 60, asof=USAGE_ASOF, days=7)
+
+
+@register("row_growth_unloaded", f"""
+WITH {_DAILY_LOADS.replace("staging_events_dup", "staging_events_unloaded")}
+SELECT d.load_date, d.row_count, p.row_count AS prior_row_count, d.row_count - p.row_count AS row_change,
+       CAST(d.row_count - p.row_count AS DOUBLE) / p.row_count AS change_ratio
+FROM daily d LEFT JOIN daily p ON p.load_date + 1 = d.load_date""", ("staging_events_unloaded",))
+def q_row_growth_unloaded(spark, d):
+    return controls.row_growth(T.staging_events_unloaded(spark, d))
+
+
+@register("rejected_statuses", """
+SELECT 'accepted_values' AS rule, 'status' AS column_name, COUNT(*) AS violations, COUNT(*) = 0 AS passed
+FROM staging_events WHERE status NOT IN ('APPROVED', 'COMPLETE')""", ("staging_events",))
+def q_rejected_statuses(spark, d):
+    report = controls.contract_report(_staging(spark, d), T.dim_provider_lookup(spark, d), accepted=EXPLORER_STATUSES)
+    return report.filter(F.col("rule") == "accepted_values")
+
+
+@register("not_in_without_errors", """
+SELECT provider_id FROM dim_provider_lookup
+WHERE provider_id NOT IN (SELECT provider_id FROM staging_events WHERE event_type = 'error' AND provider_id IS NOT NULL)""",
+          ("staging_events", "dim_provider_lookup"))
+def q_not_in_without_errors(spark, d):
+    errors = _staging(spark, d).filter((F.col("event_type") == "error") & F.col("provider_id").isNotNull())
+    return exclusion.not_in_keys(T.dim_provider_lookup(spark, d), errors)
+
+
+# --------------------------------------------------------------- A4, D7, A16, A17, F1b, F2, D23, stored logs
+
+@register("replay_then_dedup", "SELECT * FROM staging_events", ("staging_events",))
+def q_replay_then_dedup(spark, d):
+    return duplicates.dedup_keep_first(duplicates.replay_batch(_staging(spark, d)))
+
+
+@register("duplicated_key_count", """
+SELECT COUNT(*) AS duplicate_event_ids
+FROM (SELECT event_id FROM staging_events_dup GROUP BY event_id HAVING COUNT(*) > 1) k""", ("staging_events_dup",))
+def q_duplicated_key_count(spark, d):
+    return duplicates.duplicated_key_count(T.staging_events_dup(spark, d))
+
+
+@register("available_columns", "SELECT event_id, status FROM staging_events", ("staging_events",))
+def q_available_columns(spark, d):
+    upper = _staging(spark, d)
+    upper = upper.toDF(*[c.upper() for c in upper.columns])
+    return explorer.select_available(explorer.normalize_columns(upper), ["event_id", "no_such_column", "status"])
+
+
+@register("curated_newest_first", "SELECT * FROM curated_daily_events", ("curated_daily_events",))
+def q_curated_newest_first(spark, d):
+    return baseline.curated_newest_first(_curated(spark, d))
+
+
+@register("lookup_ordered", "SELECT * FROM dim_provider_lookup", ("dim_provider_lookup",))
+def q_lookup_ordered(spark, d):
+    return baseline.lookup_ordered(T.dim_provider_lookup(spark, d))
+
+
+@register("facets_of_recent_events", f"""
+WITH r AS (SELECT event_type, status FROM staging_events
+           ORDER BY event_timestamp DESC NULLS LAST, event_id LIMIT {EXPLORER_LIMIT})
+SELECT DISTINCT facet, value FROM (
+  SELECT 'event_type' AS facet, event_type AS value FROM r UNION ALL SELECT 'status', status FROM r) f
+WHERE value IS NOT NULL""", ("staging_events",))
+def q_facets_of_recent_events(spark, d):
+    return explorer.facet_values(explorer.recent_events(_staging(spark, d), EXPLORER_LIMIT))
+
+
+@register("stored_warehouse_credits", f"""
+SELECT warehouse_name, CAST(SUM(credits_used) AS DOUBLE) AS credits_used
+FROM warehouse_metering_history WHERE start_time >= {_U} - INTERVAL '1' DAY
+GROUP BY warehouse_name""", ("warehouse_metering_history",))
+def q_stored_warehouse_credits(spark, d):
+    path = sinks.scratch_table(T.warehouse_metering_history(spark, d), "metering")
+    return usage.warehouse_credits(readers.read_metering(spark, path), USAGE_ASOF)
+
+
+@register("stored_recent_queries", f"""
+SELECT query_id, query_text, bytes_scanned, total_elapsed_time, start_time
+FROM query_history WHERE warehouse_name = '{WAREHOUSE}'
+ORDER BY start_time DESC NULLS LAST, query_id LIMIT 20""", ("query_history",))
+def q_stored_recent_queries(spark, d):
+    path = sinks.scratch_table(T.query_history(spark, d), "query-history")
+    return usage.recent_queries(readers.read_query_history(spark, path), WAREHOUSE)

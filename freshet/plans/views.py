@@ -60,7 +60,12 @@ FROM events""", ()),
 SELECT * FROM staging_events WHERE event_timestamp < {TS} '2024-01-29 12:00:00'""", ("staging_events",)),
     "source_events": ("SELECT * FROM staging_events", ("staging_events",)),
     "pipeline_control": (f"""
-SELECT 'EVENT_PIPELINE' AS pipeline_name, {TS} '2024-01-29 12:00:00' AS last_successful_timestamp""", ()),
+SELECT 'EVENT_PIPELINE' AS pipeline_name, {TS} '2024-01-29 12:00:00' AS last_successful_timestamp
+UNION ALL SELECT 'USAGE_PIPELINE', {TS} '2024-01-15 00:00:00'""", ()),
+    "staging_events_unloaded": ("""
+SELECT event_id, provider_id, event_type, status, event_timestamp,
+       CASE WHEN event_type = 'error' THEN NULL ELSE loaded_at END AS loaded_at
+FROM staging_events""", ("staging_events",)),
     "load_audit": ("""
 SELECT concat('batch_', CAST(CAST(loaded_at AS DATE) AS VARCHAR(10))) AS file_name,
        'STAGING_EVENTS' AS table_name,
