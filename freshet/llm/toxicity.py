@@ -4,14 +4,14 @@
   chain is a line of the text (a longer line is cut every ``CHAIN`` words). States: ok, toxic.
 * Labels are per document, so token labels are derived from the sample: in a toxic
   document the words are toxic whose rate among toxic documents exceeds that among
-  others by ``LOG_ODDS`` (and that at least ``LEAST`` toxic documents hold); all others are ok.
+  others by ``LOG_ODDS`` (and that at least ``LEAST`` and one in 200 toxic documents hold); others are ok.
 * Emissions are sums of weights hashed from the word, its head and its tail; with
   transitions they are fitted in numpy by stochastic gradients of the chain's likelihood
   (expected minus observed counts, by forward-backward).
 * With two states forward and backward messages are one odds ratio each, so all chains of
   a batch advance together, one word a step. Marginals aggregate to the document: the largest
-  logit, the expected number of toxic words and their share go through a logistic fit on
-  the sample. Words with a marginal of one half or more are the offending offsets.
+  logit, the expected number of toxic words and their share go through a logistic fit on the
+  sample whose weights are kept from falling below 0, so more evidence never lowers a score. Words with a marginal of one half or more are the offending offsets.
 
 Sample: at most ``TOXIC`` toxic and ``CLEAN`` other labelled documents that are not held out,
 of at most ``SAMPLE_CHARS`` characters (the smallest hashes of the id). That is the
@@ -142,9 +142,8 @@ class _Emission(dict):
 
 
 def document_stats(p: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Largest logit, log of the expected number of toxic words, and their (smoothed) share, of each document."""
-    out = np.zeros((len(counts), 3))
-    out[:, 0] = -12
+    """Largest logit, log of the expected number of toxic words and their (smoothed) share, of each document."""
+    out = np.full((len(counts), 3), [-12.0, np.log(1e-3), 0.0])
     some = np.flatnonzero(counts)
     if len(some):
         starts = (np.cumsum(counts) - counts)[some]
@@ -219,10 +218,17 @@ def fit(rows: list, seed: int = 9) -> Field:
     stats = document_stats(out.marginals(x, np.concatenate([d[2] for d in docs])), np.array([len(w) for w in texts], np.int64))
     out.mean, out.scale = stats.mean(axis=0), stats.std(axis=0) + 1e-6
     z = np.hstack([(stats - out.mean) / out.scale, np.ones((len(y), 1))])
-    for _ in range(50):  # Newton steps of the ridge logistic fit
+    use = [0, 1, 2, 3]
+    for _ in range(50):  # Newton steps of the ridge logistic fit; a weight that turns negative is dropped
         q = 1 / (1 + np.exp(-np.clip(z @ out.document, -40, 40)))
-        hess = (z * (q * (1 - q))[:, None]).T @ z + 1e-1 * np.eye(4)
-        out.document = out.document - np.linalg.solve(hess, z.T @ (q - y) + 1e-1 * out.document)
+        hess = (z[:, use] * (q * (1 - q))[:, None]).T @ z[:, use] + 1e-1 * np.eye(len(use))
+        step = np.zeros(4)
+        step[use] = np.linalg.solve(hess, z[:, use].T @ (q - y) + 1e-1 * out.document[use])
+        out.document = out.document - step
+        for k in (0, 1, 2):
+            if k in use and out.document[k] < 0 and len(use) > 2:
+                use.remove(k)
+                out.document[:] = 0
     return out
 
 
