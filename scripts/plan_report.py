@@ -42,7 +42,7 @@ def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     out = sys.argv[2] if len(sys.argv) > 2 else os.path.join(os.path.dirname(os.path.dirname(
         os.path.abspath(__file__))), "PLANS.md")
-    import __spark_entry__ as E
+    from freshet.plans.queries import QUERIES
     from freshet.session import build_session
     spark = build_session("local[8]", shuffle_partitions=8)
     spark.sparkContext.setLogLevel("ERROR")
@@ -53,7 +53,7 @@ def main() -> None:
              "aggregates carry one row per map task.", "",
              "| query | scans | exchanges | broadcast | operators | filters pushed to Parquet |",
              "| --- | --- | --- | --- | --- | --- |"]
-    for name, fn in E.queries().items():
+    for name, fn in QUERIES.items():
         buf = io.StringIO()
         with contextlib.redirect_stdout(buf):
             fn(spark, sf_dir).explain(mode="formatted")
