@@ -13,20 +13,20 @@ one). Documents link when 100 * intersection >= ``percent`` * union, on the full
    chunk with one symbol left out is a key) finds *all* such pairs. Links at
    the smallest similarity, 0.85, differ in 9 of 60 symbols on average; RADIUS is 23,
    five standard deviations beyond (a loss below 1e-6 of the links on that border).
-3. Keys held by one class are dropped. In large buckets a class is dropped where
-   no partner can exist: with u of its n shingles found in no other class of any large
-   bucket, its best overlap is n - u, which bounds its similarity. This is exact and rids
-   hot buckets of the classes that would have to be compared with everything.
-4. Buckets are joined by pivots, not by all pairs. In each round every bucket that still
-   spans several components gets pivots (the best supported classes; 1, then 16, then
-   256, ... by hash), each is compared with the members of other components and then
-   leaves the bucket. So a bucket whose members are all near one text costs one
-   comparison a member, and every pair is either compared or already connected when its
-   bucket is done: no link between components is lost.
+3. Keys held by one class are dropped. The other buckets are first joined by one pivot each
+   (the smallest class), not by all pairs: where all members are near one text this costs
+   one comparison a member and already connects them.
+4. Only pairs from *different* components can still add anything. Buckets that still span
+   several, with fewer than ``LARGE_BUCKET`` members, are joined with themselves. Larger ones
+   are cut into blocks of ``BLOCK_CLASSES``; block pairs are compared in numpy and hand on a pair
+   only if sizes, signatures and an exact bound allow a link: with the shingles dealt into
+   ``GROUPS`` groups, the sum of the smaller counts of each group is never below the overlap.
+   Each class first hands on its ``BEST`` nearest pairs; what is then still apart is compared in
+   full. Every pair of a bucket is thus compared, bounded away or already connected.
 5. Pairs within RADIUS are confirmed on the full sets of the texts; components are
    merged by min-label propagation with shortcuts over the links.
 
-Nothing is capped; the loops stop when no bucket spans two components and no label moves.
+Nothing is capped: no pair that could join two components is left out.
 
 Defined cases: NULL, empty or blank texts have no shingles and link with nothing. Rows
 with a NULL doc_id stay alone (component NULL, kept). Repeated rows are exact copies
@@ -54,7 +54,10 @@ RADIUS = CHUNKS * (ERRORS + 1) - 1
 SHINGLE = 5
 PERCENT = 80
 LARGE_BUCKET = 32
-PIVOT_GROWTH = 16
+BLOCK_CLASSES = 1_024
+GROUPS = 512
+BEST = 4
+LINKS_A_FILE = 1_000_000
 _BLOCK = 2_048
 _CACHE = 200_000
 
@@ -137,17 +140,54 @@ def chunk_keys(classes: DataFrame) -> DataFrame:
     return classes.select("c", "n", "signature").mapInArrow(run, "key long, c long, n long")
 
 
-def lonely_shingles(texts: DataFrame, shingle: int) -> DataFrame:
-    """(c, u): how many shingles of a class no other class of ``texts`` has."""
+def sketches(texts: DataFrame, classes: DataFrame, shingle: int) -> DataFrame:
+    """(c, n, signature, counts): a class's shingles counted by group (one byte each; 255 says 'or more')."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _WordHash()
         for b in batches:
-            for c, t in zip(b.column(0).to_pylist(), as_bytes(b.column(1)), strict=True):
-                h = shingle_hashes(t, shingle, words)
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(np.full(len(h), c, np.int64))], names=["s", "c"])
-
-    return (texts.select("c", "text").mapInArrow(run, "s long, c long").groupBy("s").agg(F.min("c").alias("c"), F.max("c").alias("other"))
-            .filter("c = other").groupBy("c").agg(F.count("*").alias("u")))
+            counts = []
+            for t in as_bytes(b.column(1)):
+                by = np.bincount((shingle_hashes(t, shingle, words) >> np.uint64(20)).astype(np.int64) % GROUPS, minlength=GROUPS)
+                counts.append(np.minimum(by, 255).astype(np.uint8).tobytes())
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(counts, pa.binary())], names=["c", "counts"])
+
+    return texts.select("c", "text").mapInArrow(run, "c long, counts binary").join(classes.select("c", "n", "signature"), "c")
+
+
+def block_pairs(members: DataFrame, sketch: DataFrame, percent: int, best: int | None) -> DataFrame:
+    """Pairs of different components that large buckets hand on: each class's ``best`` nearest, or all.
+
+    ``members``: (key, c, label, size). A bucket of more than BLOCK_CLASSES classes is cut into
+    blocks by hash, and each class goes to every pair of blocks that holds its own.
+    """
+    def compare(rows: pa.Table) -> pa.Table:
+        own, i, j = rows["own"].to_numpy(), rows["i"][0].as_py(), rows["j"][0].as_py()
+        c, label, n = (rows[k].to_numpy() for k in ("c", "label", "n"))
+        sig = np.frombuffer(b"".join(rows["signature"].to_pylist()), np.uint16).reshape(len(c), -1)
+        counts = np.frombuffer(b"".join(rows["counts"].to_pylist()), np.uint8).reshape(len(c), -1)
+        loose = (counts == 255).any(axis=1)
+        left, right, values = np.flatnonzero(own == i), np.flatnonzero(own == j), np.unique(label, return_counts=True)
+        if i == j:  # inside a block: from the members of the smaller components
+            left = np.flatnonzero(label != values[0][values[1].argmax()])
+        out_c, out_p = [], []
+        for x in left.tolist():
+            y = right[label[right] != label[x]]
+            y = y[np.minimum(n[y], n[x]) * 100 >= np.maximum(n[y], n[x]) * percent]
+            far = (sig[y] != sig[x]).sum(axis=1)
+            y, far = y[far <= RADIUS], far[far <= RADIUS]
+            both = np.minimum(counts[y], counts[x]).sum(axis=1, dtype=np.int64)
+            ok = loose[y] | loose[x] | (100 * both >= percent * (n[y] + n[x] - both))
+            y = y[ok] if best is None else y[ok][np.argsort(far[ok], kind="stable")[:best]]
+            out_c.append(np.full(len(y), c[x]))
+            out_p.append(c[y])
+        return pa.table({"c": np.concatenate([*out_c, np.empty(0, np.int64)]), "p": np.concatenate([*out_p, np.empty(0, np.int64)])})
+
+    blocks = F.ceil(F.col("size") / BLOCK_CLASSES).cast("int")
+    own = F.pmod(F.xxhash64("c"), blocks).cast("int")
+    dealt = (members.withColumn("own", own).withColumn("with", F.explode(F.sequence(F.lit(0), blocks - 1)))
+             .withColumn("i", F.least("own", "with")).withColumn("j", F.greatest("own", "with")))
+    return (dealt.join(sketch, "c").select("key", "i", "j", "own", "c", "label", "n", "signature", "counts")
+            .groupBy("key", "i", "j").applyInArrow(compare, "c long, p long").distinct())
 
 
 def within_radius(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -198,12 +238,13 @@ def confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) ->
 def components(links: DataFrame) -> DataFrame:
     """(c, label): the smallest node reachable from each node of ``links`` (c, p)."""
     both = stored(links.select("c", "p").union(links.select("p", "c")).filter("c <> p").distinct(), "links")
-    label = stored(both.groupBy("c").agg(F.least(F.col("c"), F.min("p")).alias("label")), "labels")
+    files = 1 + both.count() // LINKS_A_FILE  # labels are narrow: as many files as they need, not one a shuffle partition
+    label = stored(both.groupBy("c").agg(F.least(F.col("c"), F.min("p")).alias("label")).coalesce(files), "labels")
     while True:
         near = both.join(label.select(F.col("c").alias("p"), F.col("label").alias("via")), "p").groupBy("c").agg(F.min("via").alias("via"))
         low = label.join(near, "c").select("c", F.col("label").alias("old"), F.least("label", "via").alias("low"))
         hop = label.select(F.col("c").alias("low"), F.col("label").alias("further"))
-        step = stored(low.join(hop, "low", "left").select("c", "old", F.least("low", F.coalesce("further", "low")).alias("label")), "labels")
+        step = stored(low.join(hop, "low", "left").select("c", "old", F.least("low", F.coalesce("further", "low")).alias("label")).coalesce(files), "labels")
         label = step.select("c", "label")
         if step.filter("label <> old").isEmpty():
             return label
@@ -218,43 +259,36 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
             F.min(F.struct("doc_id", "row_key")).alias("first"), F.first("n_shingles").alias("n"), F.first("signature").alias("signature"))
         .select(F.col("first.doc_id").alias("c"), F.col("first.row_key").alias("row_key"), "n", "signature", "h1", "h2"), "classes")
     keys = chunk_keys(classes)
-    shared = keys.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("size"), F.min("n").alias("least")) \
-        .filter("lo < hi").select("key", "size", "least")
+    shared = keys.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("key", "lo")
     members = stored(keys.join(shared, "key"), "members")
     needed = members.select("c").distinct().join(classes.select("c", "row_key"), "c")
     rows = docs.select(F.col(doc).cast("long").alias("doc_id"), text_key(text).alias("row_key"), F.col(text).alias("text")).filter("doc_id IS NOT NULL")
     texts = stored(rows.join(needed.withColumnRenamed("c", "doc_id"), ["doc_id", "row_key"])
                    .groupBy(F.col("doc_id").alias("c"), "row_key").agg(F.first("text").alias("text")).select("c", "text"), "texts")
-    large = members.filter(F.col("size") >= LARGE_BUCKET).select("c").distinct()
-    lonely = stored(lonely_shingles(texts.join(large, "c", "left_semi"), shingle), "lonely")
-    best = F.col("n") - F.col("u")  # the most shingles it can share
-    union = F.col("n") + F.greatest(F.col("least"), F.ceil(F.col("n") * percent / 100)) - best
-    members = stored(
-        members.join(lonely, "c", "left").withColumn("u", F.coalesce("u", F.lit(0)))
-        .filter((F.col("size") < LARGE_BUCKET) | (best * 100 >= union * percent))
-        .select("key", "c", (F.col("u") / F.col("n")).alias("alone")), "members")
     label = spark.createDataFrame([], "c long, label long")
     links = spark.createDataFrame([], "c long, p long")
-    tested = spark.createDataFrame([], "c long, p long")
-    pivots, turn = 1, 0
-    while True:
-        now = members.join(label, "c", "left").withColumn("label", F.coalesce("label", "c"))
-        split = now.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("key")
-        now = stored(now.join(split, "key"), "open")
-        if now.isEmpty():
-            break
-        lead = now.groupBy("key", F.pmod(F.xxhash64("c", F.lit(turn)), F.lit(pivots)).alias("part")).agg(
-            F.min(F.struct("alone", F.xxhash64("c", F.lit(turn)).alias("h"), "c", "label")).alias("m")) \
-            .select("key", F.col("m.c").alias("p"), F.col("m.label").alias("at"))
-        lead = stored(lead, "pivots")
-        pairs = now.join(lead, "key").filter("c <> p AND label <> at").select("c", "p").distinct()
-        fresh = pairs.join(tested, ["c", "p"], "left_anti")
-        near = stored(within_radius(fresh, classes, percent), "pairs")
-        tested = tested.unionByName(near).unionByName(near.select(F.col("p").alias("c"), F.col("c").alias("p")))
-        links = links.unionByName(stored(confirmed(near, texts, shingle, percent), "found"))
-        label = components(links)
-        members = stored(now.select("key", "c", "alone").join(lead.select("key", F.col("p").alias("c")), ["key", "c"], "left_anti"), "members")
-        pivots, turn = pivots * PIVOT_GROWTH, turn + 1
+
+    def apart() -> DataFrame:
+        """(key, c, label, size) of the buckets that still span several components."""
+        now = members.join(label, "c", "left").select("key", "c", F.coalesce("label", "c").alias("label"))
+        open_ = now.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("size")).filter("lo < hi")
+        return stored(now.join(open_.select("key", "size"), "key"), "open")
+
+    def merged(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+        near = stored(within_radius(pairs, classes, percent), "pairs")
+        found = links.unionByName(stored(confirmed(near, texts, shingle, percent), "found"))
+        return found, components(found)
+
+    links, label = merged(members.filter("c <> lo").select("c", F.col("lo").alias("p")).distinct())
+    sketch = stored(sketches(texts, classes, shingle), "sketches")
+    now = apart()
+    small, large = now.filter(F.col("size") < LARGE_BUCKET), now.filter(F.col("size") >= LARGE_BUCKET)
+    other = small.select("key", F.col("c").alias("p"), F.col("label").alias("at"))
+    pairs = small.join(other, "key").filter("c < p AND label <> at").select("c", "p").distinct()
+    links, label = merged(pairs.unionByName(block_pairs(large, sketch, percent, BEST)).distinct())
+    large = apart().filter(F.col("size") >= LARGE_BUCKET)
+    if not large.isEmpty():
+        links, label = merged(block_pairs(large, sketch, percent, None))
     of = classes.select("h1", "h2", "c").join(label, "c", "left").select(F.col("h1").alias("k1"), F.col("h2").alias("k2"), F.coalesce("label", "c").alias("component"))
     component = F.when(F.col("doc_id").isNull(), None).otherwise(F.coalesce("component", "doc_id"))
     return signed.join(of, (F.col("h1") == F.col("k1")) & (F.col("h2") == F.col("k2")), "left").select(
