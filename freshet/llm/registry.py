@@ -20,5 +20,6 @@ QUERIES = {
 ORACLE = {
     "op1_top_k": topk.ORACLE,
     "op3_near_duplicates": neardup.ORACLE,
+    "op4_secrets": secrets.ORACLE,
     "op7_decontaminate": decontam.ORACLE,
 }

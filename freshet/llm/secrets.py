@@ -117,3 +117,40 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", n(0).alias("n_assign"), n(1).alias("n_access"), n(2).alias("n_hex"),
                         F.sha2(span_text(F.filter("spans", lambda s: s["kind"] < 3)), 256).alias("base_sha256"),
                         span_text(F.col("spans")).alias("spans"))
+
+
+def _sql(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _oracle() -> str:
+    """The same spans in DuckDB: the text between matches gives positions, ``entropy`` each window's entropy."""
+    patterns = (ASSIGN, ACCESS, HEX.removeprefix("(?<![0-9a-f])"), CANDIDATE.removeprefix("(?<![A-Za-z0-9+/_=-])"))
+    found = "\nUNION ALL ".join(
+        f"SELECT doc_id, {k} AS k, unnest(range(1, len(m) + 1)) AS i, unnest(m) AS v, unnest(g[:len(m)]) AS gap FROM "
+        f"(SELECT doc_id, regexp_extract_all(x, {_sql(p)}) AS m, string_split_regex(x, {_sql(p)}) AS g FROM doc)" for k, p in enumerate(patterns))
+    least = " ".join(f"WHEN regexp_matches(v, {_sql(p)}) THEN {bits}" for p, bits in CLASSES[:-1])
+    allowed = " OR ".join(f"regexp_matches(v, {_sql(p)})" for p in ALLOWED)
+    names = ", ".join(f"'{n}'" for n in KINDS)
+    return f"""
+WITH doc AS (SELECT doc_id, coalesce(text, '') AS x FROM documents),
+found AS ({found}),
+placed AS (
+  SELECT doc_id, k, v, sum(len(gap) + len(v)) OVER (PARTITION BY doc_id, k ORDER BY i) AS till FROM found),
+kept AS (
+  SELECT doc_id, k, CAST(till - len(v) AS BIGINT) AS start, CAST(till AS BIGINT) AS till FROM placed
+  WHERE CASE k WHEN 0 THEN len(regexp_extract(v, {_sql(ASSIGN)}, 2)) >= {ASSIGN_LEAST}
+        WHEN 3 THEN NOT ({allowed}) AND list_max([list_aggregate(string_split(v[s:s + {WINDOW - 1}], ''), 'entropy')
+                                                  FOR s IN range(1, len(v) - {WINDOW - 2})])
+                    >= CASE {least} ELSE {CLASSES[-1][1]} END
+        ELSE true END),
+named AS (SELECT *, ([{names}])[k + 1] || ':' || start || ':' || till AS span FROM kept)
+SELECT d.doc_id, count(*) FILTER (WHERE k = 0) AS n_assign, count(*) FILTER (WHERE k = 1) AS n_access,
+       count(*) FILTER (WHERE k = 2) AS n_hex,
+       sha256(coalesce(string_agg(span, ',' ORDER BY start, k) FILTER (WHERE k < 3), '')) AS base_sha256,
+       coalesce(string_agg(span, ',' ORDER BY start, k), '') AS spans
+FROM doc d LEFT JOIN named USING (doc_id) GROUP BY d.doc_id
+"""
+
+
+ORACLE = _oracle()
