@@ -63,6 +63,19 @@ def _flags(keyed: DataFrame) -> DataFrame:
                      F.coalesce(F.sum(F.when(F.col("_k").isNull(), F.col("_n"))), F.lit(0)).alias("_null_rows"))
 
 
+def _without(dim: DataFrame, keyed: DataFrame, key: str) -> DataFrame:
+    """Outer keys that no inner key equals (NULL never does).
+
+    The keys are compared as one-field structs, which may hold NULL: the optimizer then adds no
+    NOT NULL filter below the keyed aggregate, so the join and the flags share its exchange
+    and the events are read once.
+    """
+    # the count is tested, always true, so that column pruning leaves both uses the same aggregate
+    inner = keyed.filter(F.col("_n") > 0).select(F.struct(F.col("_k").alias("k")).alias("_inner"))
+    outer = F.struct(F.col(key).alias("k"))
+    return dim.select(key).join(inner, (outer == F.col("_inner")) & F.col(key).isNotNull(), "left_anti")
+
+
 def not_in_keys(dim: DataFrame, events: DataFrame, key: str = "provider_id") -> DataFrame:
     """C11: ``dim.key NOT IN (SELECT key FROM events)``.
 
@@ -72,7 +85,7 @@ def not_in_keys(dim: DataFrame, events: DataFrame, key: str = "provider_id") ->
     the anti join read the same keyed aggregate, whose exchange Spark reuses.
     """
     keyed = _keyed(events, key)
-    candidates = attach_scalars(anti_join(dim.select(key), key, keyed), _flags(keyed))
+    candidates = attach_scalars(_without(dim, keyed, key), _flags(keyed))
     return candidates.filter((F.col("_inner_rows") == 0)
                              | ((F.col("_null_rows") == 0) & F.col(key).isNotNull())).select(key)
 
@@ -89,8 +102,8 @@ def exclusion_comparison(dim: DataFrame, events: DataFrame, key: str = "provider
     same keyed aggregate that decides the NOT IN semantics.
     """
     keyed = _keyed(events, key)
-    cand = anti_join(dim.select(key), key, keyed).agg(F.count(F.lit(1)).alias("not_exists_count"),
-                                                      F.count_if(F.col(key).isNotNull()).alias("_cand_non_null"))
+    cand = _without(dim, keyed, key).agg(F.count(F.lit(1)).alias("not_exists_count"),
+                                         F.count_if(F.col(key).isNotNull()).alias("_cand_non_null"))
     return (attach_scalars(cand, _flags(keyed))
                 .select(F.when(F.col("_inner_rows") == 0, F.col("not_exists_count"))
                          .when(F.col("_null_rows") > 0, F.lit(0).cast("bigint"))

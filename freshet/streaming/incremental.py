@@ -49,8 +49,12 @@ def incremental_by_target_max(source: DataFrame, target: DataFrame, col: str = "
     """Source rows after the target's maximum (``> (SELECT MAX ...)``).
 
     An empty target has a NULL maximum, so the faithful result is no rows
-    (the first-load trap); ``on_empty='all'`` loads everything instead.
+    (the first-load trap); ``on_empty='all'`` loads everything instead. On a target
+    partitioned by ``date_col`` (the date of ``col``) only its newest partition is read.
     """
+    if date_col and date_col in target.columns:
+        newest = max_value(target.select(date_col), date_col)
+        target = target.filter(F.col(date_col) == F.lit(newest)) if newest is not None else target
     bound = max_value(target, col)
     if bound is None:
         return source if on_empty == "all" else source.filter(F.lit(False))
