@@ -21,8 +21,8 @@ one). Documents link when 100 * intersection >= ``percent`` * union, on the full
    are cut into blocks of ``BLOCK_CLASSES``; block pairs are compared in numpy and hand on a pair
    only if sizes, signatures and an exact bound allow a link: with the shingles dealt into
    ``GROUPS`` groups, the sum of the smaller counts of each group is never below the overlap.
-   Each class first hands on its ``BEST`` nearest pairs; what is then still apart is compared in
-   full. Every pair of a bucket is thus compared, bounded away or already connected.
+   In the buckets of the first chunks each class first hands on its ``BEST`` nearest pairs, which
+   connects most of a group; what is then still apart is compared in full, in all buckets. Every pair of a bucket is thus compared, bounded away or already connected.
 5. Pairs within RADIUS are confirmed on the full sets of the texts; components are
    merged by min-label propagation with shortcuts over the links.
 
@@ -57,6 +57,7 @@ LARGE_BUCKET = 32
 BLOCK_CLASSES = 1_024
 GROUPS = 512
 BEST = 4
+FIRST_CHUNKS = 3
 LINKS_A_FILE = 1_000_000
 _BLOCK = 2_048
 _CACHE = 200_000
@@ -119,10 +120,10 @@ def sign(docs: DataFrame, shingle: int = SHINGLE, doc: str = "doc_id", text: str
 
 
 def chunk_keys(classes: DataFrame) -> DataFrame:
-    """(bucket key, class, n): every chunk with each one of its symbols left out."""
+    """(bucket key, chunk, class): every chunk with each one of its symbols left out."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sig = np.frombuffer(b"".join(b.column(2).to_pylist()), np.uint16).reshape(-1, CHUNKS, WIDTH).astype(np.uint64)
+            sig = np.frombuffer(b"".join(b.column(1).to_pylist()), np.uint16).reshape(-1, CHUNKS, WIDTH).astype(np.uint64)
             keys = np.empty((len(sig), CHUNKS, WIDTH), np.uint64)
             for out in range(WIDTH):
                 k = np.broadcast_to(np.arange(CHUNKS, dtype=np.uint64) * np.uint64(WIDTH) + np.uint64(out + 1), (len(sig), CHUNKS)).copy()
@@ -132,12 +133,12 @@ def chunk_keys(classes: DataFrame) -> DataFrame:
                     if j != out:
                         packed = packed << np.uint64(16) | sig[:, :, j]
                 keys[:, :, out] = split64(packed) ^ k
-            per = CHUNKS * WIDTH
+            chunk = np.tile(np.repeat(np.arange(CHUNKS, dtype=np.int32), WIDTH), len(sig))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys.reshape(-1).view(np.int64)), pa.array(np.repeat(b.column(0).to_numpy(), per)),
-                 pa.array(np.repeat(b.column(1).to_numpy(), per))], names=["key", "c", "n"])
+                [pa.array(keys.reshape(-1).view(np.int64)), pa.array(chunk), pa.array(np.repeat(b.column(0).to_numpy(), CHUNKS * WIDTH))],
+                names=["key", "chunk", "c"])
 
-    return classes.select("c", "n", "signature").mapInArrow(run, "key long, c long, n long")
+    return classes.select("c", "signature").mapInArrow(run, "key long, chunk int, c long")
 
 
 def sketches(texts: DataFrame, classes: DataFrame, shingle: int) -> DataFrame:
@@ -269,8 +270,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     links = spark.createDataFrame([], "c long, p long")
 
     def apart() -> DataFrame:
-        """(key, c, label, size) of the buckets that still span several components."""
-        now = members.join(label, "c", "left").select("key", "c", F.coalesce("label", "c").alias("label"))
+        """(key, chunk, c, label, size) of the buckets that still span several components."""
+        now = members.join(label, "c", "left").select("key", "chunk", "c", F.coalesce("label", "c").alias("label"))
         open_ = now.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("size")).filter("lo < hi")
         return stored(now.join(open_.select("key", "size"), "key"), "open")
 
@@ -285,7 +286,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     small, large = now.filter(F.col("size") < LARGE_BUCKET), now.filter(F.col("size") >= LARGE_BUCKET)
     other = small.select("key", F.col("c").alias("p"), F.col("label").alias("at"))
     pairs = small.join(other, "key").filter("c < p AND label <> at").select("c", "p").distinct()
-    links, label = merged(pairs.unionByName(block_pairs(large, sketch, percent, BEST)).distinct())
+    first = large.filter(F.col("chunk") < FIRST_CHUNKS)
+    links, label = merged(pairs.unionByName(block_pairs(first, sketch, percent, BEST)).distinct())
     large = apart().filter(F.col("size") >= LARGE_BUCKET)
     if not large.isEmpty():
         links, label = merged(block_pairs(large, sketch, percent, None))
