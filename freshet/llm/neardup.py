@@ -54,7 +54,7 @@ RADIUS = CHUNKS * (ERRORS + 1) - 1
 SHINGLE = 5
 PERCENT = 80
 LARGE_BUCKET = 32
-BLOCK_CLASSES = 1_024
+BLOCK_CLASSES = 2_048
 GROUPS = 512
 BEST = 4
 FIRST_CHUNKS = 3
@@ -185,9 +185,12 @@ def block_pairs(members: DataFrame, sketch: DataFrame, percent: int, best: int |
 
     blocks = F.ceil(F.col("size") / BLOCK_CLASSES).cast("int")
     own = F.pmod(F.xxhash64("c"), blocks).cast("int")
-    dealt = (members.withColumn("own", own).withColumn("with", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    rows = members.select("key", "c", "label", "size")
+    whole = rows.filter(F.col("size") <= BLOCK_CLASSES).select("*", *[F.lit(0).alias(x) for x in ("own", "with", "i", "j")])
+    dealt = (rows.filter(F.col("size") > BLOCK_CLASSES).withColumn("own", own)
+             .withColumn("with", F.explode(F.sequence(F.lit(0), blocks - 1)))
              .withColumn("i", F.least("own", "with")).withColumn("j", F.greatest("own", "with")))
-    return (dealt.join(sketch, "c").select("key", "i", "j", "own", "c", "label", "n", "signature", "counts")
+    return (whole.unionByName(dealt).join(sketch, "c").select("key", "i", "j", "own", "c", "label", "n", "signature", "counts")
             .groupBy("key", "i", "j").applyInArrow(compare, "c long, p long").distinct())
 
 
