@@ -28,6 +28,7 @@ empty table gives no rows. Other columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -43,7 +44,6 @@ SHARE = 1.5
 CAP = 2.0
 BLOCK_WORDS = 2_048
 SHARD_SLOTS = 1_024
-SEGMENT_DOCS = 10_000
 WORD = r"[^\x20\x09-\x0D]+"
 _EXACT_DRAW = 1_000_000_000
 
@@ -205,7 +205,7 @@ def mix(docs: DataFrame, doc: str = "doc_id", text: str = "text", source: str =
     sources = spark.createDataFrame(
         [(r["source"], i, sizes[i], float(goal[i])) for i, r in enumerate(rows)],
         "name string, source_index long, source_size long, target double")
-    n_segments = max(1, -(-sum(r["n"] for r in rows) // SEGMENT_DOCS))
+    n_segments = 1 + math.isqrt(sum(r["n"] for r in rows))  # as many segments as documents in one
     cut = sized.withColumn("segment", F.pmod(F.xxhash64("doc_id"), F.lit(n_segments)))
     ahead = Window.partitionBy("name").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (cut.groupBy(F.col("source").alias("name"), F.col("segment").alias("part")).agg(F.sum("size").alias("words"))
