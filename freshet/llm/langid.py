@@ -25,10 +25,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freshet.llm.common import as_bytes, chunks_of, crc_mod, ready, table
+from freshet.llm.common import as_bytes, chunks_of, crc_mod, ready, smallest_hashes, table
 
 BUCKETS = 1 << 15
 DIM = 16
@@ -99,10 +99,9 @@ def train_rows(docs: DataFrame, per_lang: int = PER_LANG) -> DataFrame:
     """The bounded sample: whole texts of ``per_lang`` documents a language, none held out."""
     able = docs.select(F.col("doc_id").alias("id"), F.col("lang").cast("string").alias("lang"), "text") \
         .filter(F.col("lang").isNotNull() & (crc_mod("id", HELD_OUT) != 0) & F.col("text").isNotNull())
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "id"))
-    chosen = (able.select("id", "lang", F.xxhash64("id").alias("h")).withColumn("r", rank).filter(F.col("r") <= per_lang)
-              .select(F.col("id").alias("chosen"), F.col("lang").alias("as"), "r"))
-    return able.join(chosen, (F.col("id") == F.col("chosen")) & (F.col("lang") == F.col("as"))).select("id", "lang", "text")
+    chosen = smallest_hashes(able, "lang", F.lit(per_lang)).select(F.col("id").alias("chosen"), F.col("lang").alias("as"))
+    # at most per_lang rows a language: small enough to send to every task, so no text is shuffled
+    return able.join(F.broadcast(chosen), (F.col("id") == F.col("chosen")) & (F.col("lang") == F.col("as"))).select("id", "lang", "text")
 
 
 def features(rows: DataFrame) -> DataFrame:
