@@ -51,8 +51,8 @@ def merge_upsert(target: DataFrame, incoming: DataFrame, key: str = "event_id",
     incoming version; incoming rows with a NULL key match nothing and are
     inserted as they are. With ``date_col`` (a date partition column of both sides that a
     key never changes) only the target's partitions from the batch's first to its last
-    date are read, and the result is those partitions' new content, to be stored
-    with ``sinks.replace_partitions``.
+    date are read, and the one of the rows without a date if the batch holds such rows;
+    the result is those partitions' new content, to be stored with ``sinks.replace_partitions``.
     """
     if tie_breakers is None:
         tie_breakers = [c for c in incoming.columns if c not in (key, order)]
@@ -63,8 +63,10 @@ def merge_upsert(target: DataFrame, incoming: DataFrame, key: str = "event_id",
     latest = (incoming.withColumn("_salt", salt).withColumn("_rn", F.row_number().over(best))
               .filter((F.col("_rn") == 1) | F.col(key).isNull()).drop("_salt", "_rn"))
     if date_col:
-        lo, hi = incoming.agg(F.min(date_col), F.max(date_col)).first()
-        target = target.filter(F.col(date_col).between(F.lit(lo), F.lit(hi)) if lo is not None else F.lit(False))
+        undated = F.col(date_col).isNull()
+        lo, hi, some_undated = incoming.agg(F.min(date_col), F.max(date_col), F.bool_or(undated)).first()
+        touched = F.col(date_col).between(F.lit(lo), F.lit(hi)) if lo is not None else F.lit(False)
+        target = target.filter(touched | undated if some_undated else touched)
     kept = anti_join(target, key, distinct_keys_of(incoming, key))
     return kept.unionByName(latest)
 

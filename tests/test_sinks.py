@@ -6,6 +6,7 @@ import datetime as dt
 import glob
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from freshet.operators import duplicates
@@ -148,6 +149,23 @@ def test_merge_rewrites_only_the_batch_partitions(spark, scratch):
     assert touched and touched <= {d for d in {os.path.dirname(f) for f in before} if d >= min(days)}
 
 
+@pytest.mark.parametrize("all_undated", [False, True])
+def test_merge_keeps_target_rows_without_a_date(spark, scratch, all_undated):
+    from freshet.operators import controls
+    date = F.when(F.col("event_id") % 2 == 0, F.to_date("event_timestamp"))  # odd ids have no date
+    dated = seeds.seed_events(spark).withColumn("event_date", date)
+    path = os.path.join(scratch, "undated")
+    dated.write.partitionBy("event_date").parquet(path)
+    target = spark.read.parquet(path).select(*dated.columns)
+    changed = dated.filter("event_id = 9" if all_undated else "event_id >= 8").withColumn("status", F.lit("NEW"))
+    added = changed.filter("event_id = 9").withColumn("event_id", F.lit(99).cast(dated.schema["event_id"].dataType))
+    merged = controls.merge_upsert(target, changed.unionByName(added), date_col="event_date")
+    sinks.replace_partitions(merged, path, "event_date")
+    got = {r["event_id"]: r["status"] for r in spark.read.parquet(path).collect()}
+    assert got.keys() == {*range(1, 11), 99}
+    assert {i for i, s in got.items() if s == "NEW"} == ({9, 99} if all_undated else {8, 9, 10, 99})
+
+
 def test_declared_readers(spark, scratch):
     import pytest
 
