@@ -4,15 +4,16 @@ A document's set holds its distinct ``shingle``-word shingles (words
 ``[^\\x20\\x09-\\x0D]+`` after A-Z are lower-cased; fewer words: the whole sequence as
 one). Documents link when 100 * intersection >= ``percent`` * union, on the full sets.
 
-1. One pass signs every document: set size, a 128-bit hash of the set, and ``CHUNKS *
-   WIDTH`` minima of which ``b`` = 16 bits each are kept. Documents of equal sets
+1. One pass signs every document: set size, a 128-bit hash of the set, and ``SYMBOLS`` = 60
+   minima of which ``b`` = 16 bits each are kept. Documents of equal sets
    fall into one class (a partially aggregated min); classes go on, copies do not.
-2. Signatures are split into ``CHUNKS`` chunks. By the pigeonhole principle two
-   signatures at Hamming distance <= RADIUS = CHUNKS * (ERRORS + 1) - 1 have a chunk
-   with at most ERRORS = 1 wrong symbol; enumerating the place of that error (every
-   chunk with one symbol left out is a key) finds *all* such pairs. Links at
-   the smallest similarity, 0.85, differ in 9 of 60 symbols on average; RADIUS is 23,
-   five standard deviations beyond (a loss below 1e-6 of the links on that border).
+2. Signatures are split into chunks. By the pigeonhole principle two signatures at Hamming
+   distance <= radius = chunks * (ERRORS + 1) - 1 have a chunk with at most ERRORS = 1
+   wrong symbol; enumerating the place of that error (every chunk with one symbol left
+   out is a key) finds *all* such pairs. ``layout`` takes the longest chunks whose radius
+   loses at most MOST_LOST of the links right at ``percent`` (a binomial tail) and refuses a
+   ``percent`` that none of them serves (below 65). At 0.80 and 0.85: 15 chunks of 4, radius 29,
+   a loss of 2.1e-7 and 2.1e-10 of the border links; more similar links are lost far less often.
 3. Keys held by one class are dropped. The other buckets are first joined by one pivot each
    (the smallest class), not by all pairs: where all members are near one text this costs
    one comparison a member and already connects them.
@@ -23,10 +24,11 @@ one). Documents link when 100 * intersection >= ``percent`` * union, on the full
    ``GROUPS`` groups, the sum of the smaller counts of each group is never below the overlap.
    In the buckets of the first chunks each class first hands on its ``BEST`` nearest pairs, which
    connects most of a group; what is then still apart is compared in full, in all buckets. Every pair of a bucket is thus compared, bounded away or already connected.
-5. Pairs within RADIUS are confirmed on the full sets of the texts; components are
+5. Pairs within the radius are confirmed on the full sets of the texts; components are
    merged by min-label propagation with shortcuts over the links.
 
-Nothing is capped: no pair that could join two components is left out.
+Nothing is capped: of the pairs that could join two components only those beyond the radius are
+left out, with the probability above; other links of a group may still connect theirs.
 
 Defined cases: NULL, empty or blank texts have no shingles and link with nothing. Rows
 with a NULL doc_id stay alone (component NULL, kept). Repeated rows are exact copies
@@ -38,6 +40,8 @@ from __future__ import annotations
 
 from collections import OrderedDict
 from collections.abc import Iterator
+from math import comb
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -47,10 +51,10 @@ from pyspark.sql import functions as F
 
 from freshet.llm.common import as_bytes, ready, split64, stored, table, text_key
 
-CHUNKS = 12
-WIDTH = 5
+SYMBOLS = 60
 ERRORS = 1
-RADIUS = CHUNKS * (ERRORS + 1) - 1
+LAYOUTS = ((12, 5), (15, 4), (20, 3))  # (chunks, symbols a chunk); SYMBOLS keys a class in each
+MOST_LOST = 1e-6
 SHINGLE = 5
 PERCENT = 80
 LARGE_BUCKET = 32
@@ -62,9 +66,35 @@ LINKS_A_FILE = 1_000_000
 _BLOCK = 2_048
 _CACHE = 200_000
 
+
+
+class Layout(NamedTuple):
+    chunks: int
+    width: int
+    radius: int
+
+
+def lost(percent: int, radius: int) -> float:
+    """Probability that a pair at exactly this similarity differs in more than ``radius`` symbols."""
+    s = percent / 100
+    return sum(comb(SYMBOLS, k) * (1 - s) ** k * s ** (SYMBOLS - k) for k in range(radius + 1, SYMBOLS + 1))
+
+
+def layout(percent: int) -> Layout:
+    """The longest chunks whose radius loses at most MOST_LOST of the links at ``percent``."""
+    for chunks, width in LAYOUTS:
+        radius = chunks * (ERRORS + 1) - 1
+        if lost(percent, radius) <= MOST_LOST:
+            return Layout(chunks, width, radius)
+    raise ValueError(f"signatures of {SYMBOLS} symbols can't find the links of {percent} percent similarity: "
+                     f"a radius of {radius} would lose {lost(percent, radius):.1e} of them")
+
+
+CHUNKS, WIDTH, RADIUS = layout(PERCENT)
+
 _RNG = np.random.default_rng(20_240_229)
-_MULTIPLY = _RNG.integers(1, 2**63, CHUNKS * WIDTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_FLIP = _RNG.integers(0, 2**63, CHUNKS * WIDTH, dtype=np.uint64)
+_MULTIPLY = _RNG.integers(1, 2**63, SYMBOLS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_FLIP = _RNG.integers(0, 2**63, SYMBOLS, dtype=np.uint64)
 
 
 class _WordHash(dict):
@@ -94,7 +124,7 @@ def shingle_hashes(text: bytes | None, width: int, words: _WordHash) -> np.ndarr
 
 def signature(h: np.ndarray) -> np.ndarray:
     """The low 16 bits of each of the minima."""
-    low = np.full(CHUNKS * WIDTH, np.iinfo(np.uint64).max, np.uint64)
+    low = np.full(SYMBOLS, np.iinfo(np.uint64).max, np.uint64)
     for a in range(0, len(h), _BLOCK):
         np.minimum(low, ((h[None, a:a + _BLOCK] ^ _FLIP[:, None]) * _MULTIPLY[:, None]).min(axis=1), out=low)
     return low.astype(np.uint16)
@@ -119,23 +149,25 @@ def sign(docs: DataFrame, shingle: int = SHINGLE, doc: str = "doc_id", text: str
         run, "doc_id long, row_key long, n_shingles long, h1 long, h2 long, signature binary")
 
 
-def chunk_keys(classes: DataFrame) -> DataFrame:
+def chunk_keys(classes: DataFrame, shape: Layout) -> DataFrame:
     """(bucket key, chunk, class): every chunk with each one of its symbols left out."""
+    chunks, width = shape.chunks, shape.width
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sig = np.frombuffer(b"".join(b.column(1).to_pylist()), np.uint16).reshape(-1, CHUNKS, WIDTH).astype(np.uint64)
-            keys = np.empty((len(sig), CHUNKS, WIDTH), np.uint64)
-            for out in range(WIDTH):
-                k = np.broadcast_to(np.arange(CHUNKS, dtype=np.uint64) * np.uint64(WIDTH) + np.uint64(out + 1), (len(sig), CHUNKS)).copy()
+            sig = np.frombuffer(b"".join(b.column(1).to_pylist()), np.uint16).reshape(-1, chunks, width).astype(np.uint64)
+            keys = np.empty((len(sig), chunks, width), np.uint64)
+            for out in range(width):
+                k = np.broadcast_to(np.arange(chunks, dtype=np.uint64) * np.uint64(width) + np.uint64(out + 1), (len(sig), chunks)).copy()
                 split64(k)
                 packed = np.zeros_like(k)
-                for j in range(WIDTH):
+                for j in range(width):
                     if j != out:
                         packed = packed << np.uint64(16) | sig[:, :, j]
                 keys[:, :, out] = split64(packed) ^ k
-            chunk = np.tile(np.repeat(np.arange(CHUNKS, dtype=np.int32), WIDTH), len(sig))
+            chunk = np.tile(np.repeat(np.arange(chunks, dtype=np.int32), width), len(sig))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys.reshape(-1).view(np.int64)), pa.array(chunk), pa.array(np.repeat(b.column(0).to_numpy(), CHUNKS * WIDTH))],
+                [pa.array(keys.reshape(-1).view(np.int64)), pa.array(chunk), pa.array(np.repeat(b.column(0).to_numpy(), SYMBOLS))],
                 names=["key", "chunk", "c"])
 
     return classes.select("c", "signature").mapInArrow(run, "key long, chunk int, c long")
@@ -155,7 +187,7 @@ def sketches(texts: DataFrame, classes: DataFrame, shingle: int) -> DataFrame:
     return texts.select("c", "text").mapInArrow(run, "c long, counts binary").join(classes.select("c", "n", "signature"), "c")
 
 
-def block_pairs(members: DataFrame, sketch: DataFrame, percent: int, best: int | None) -> DataFrame:
+def block_pairs(members: DataFrame, sketch: DataFrame, percent: int, radius: int, best: int | None) -> DataFrame:
     """Pairs of different components that large buckets hand on: each class's ``best`` nearest, or all.
 
     ``members``: (key, c, label, size). A bucket of more than BLOCK_CLASSES classes is cut into
@@ -175,7 +207,7 @@ def block_pairs(members: DataFrame, sketch: DataFrame, percent: int, best: int |
             y = right[label[right] != label[x]]
             y = y[np.minimum(n[y], n[x]) * 100 >= np.maximum(n[y], n[x]) * percent]
             far = (sig[y] != sig[x]).sum(axis=1)
-            y, far = y[far <= RADIUS], far[far <= RADIUS]
+            y, far = y[far <= radius], far[far <= radius]
             both = np.minimum(counts[y], counts[x]).sum(axis=1, dtype=np.int64)
             ok = loose[y] | loose[x] | (100 * both >= percent * (n[y] + n[x] - both))
             y = y[ok] if best is None else y[ok][np.argsort(far[ok], kind="stable")[:best]]
@@ -194,12 +226,12 @@ def block_pairs(members: DataFrame, sketch: DataFrame, percent: int, best: int |
             .groupBy("key", "i", "j").applyInArrow(compare, "c long, p long").distinct())
 
 
-def within_radius(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose sizes allow a link and whose signatures differ in at most RADIUS symbols."""
+def within_radius(pairs: DataFrame, classes: DataFrame, percent: int, radius: int) -> DataFrame:
+    """The pairs whose sizes allow a link and whose signatures differ in at most ``radius`` symbols."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x, y = (np.frombuffer(b"".join(b.column(k).to_pylist()), np.uint16).reshape(-1, CHUNKS * WIDTH) for k in (2, 3))
-            near = pa.array((x != y).sum(axis=1) <= RADIUS)
+            x, y = (np.frombuffer(b"".join(b.column(k).to_pylist()), np.uint16).reshape(-1, SYMBOLS) for k in (2, 3))
+            near = pa.array((x != y).sum(axis=1) <= radius)
             yield pa.RecordBatch.from_arrays([b.column(0).filter(near), b.column(1).filter(near)], names=["c", "p"])
 
     left = classes.select("c", F.col("n").alias("n1"), F.col("signature").alias("s1"))
@@ -256,13 +288,13 @@ def components(links: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document: n_shingles, component_id (smallest id reachable), kept (is that one)."""
-    spark = docs.sparkSession
+    spark, shape = docs.sparkSession, layout(percent)
     signed = stored(sign(docs, shingle, doc, text), "signed")
     classes = stored(
         signed.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("h1", "h2").agg(
             F.min(F.struct("doc_id", "row_key")).alias("first"), F.first("n_shingles").alias("n"), F.first("signature").alias("signature"))
         .select(F.col("first.doc_id").alias("c"), F.col("first.row_key").alias("row_key"), "n", "signature", "h1", "h2"), "classes")
-    keys = chunk_keys(classes)
+    keys = chunk_keys(classes, shape)
     shared = keys.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("key", "lo")
     members = stored(keys.join(shared, "key"), "members")
     needed = members.select("c").distinct().join(classes.select("c", "row_key"), "c")
@@ -279,7 +311,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
         return stored(now.join(open_.select("key", "size"), "key"), "open")
 
     def merged(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
-        near = stored(within_radius(pairs, classes, percent), "pairs")
+        near = stored(within_radius(pairs, classes, percent, shape.radius), "pairs")
         found = links.unionByName(stored(confirmed(near, texts, shingle, percent), "found"))
         return found, components(found)
 
@@ -290,10 +322,10 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     other = small.select("key", F.col("c").alias("p"), F.col("label").alias("at"))
     pairs = small.join(other, "key").filter("c < p AND label <> at").select("c", "p").distinct()
     first = large.filter(F.col("chunk") < FIRST_CHUNKS)
-    links, label = merged(pairs.unionByName(block_pairs(first, sketch, percent, BEST)).distinct())
+    links, label = merged(pairs.unionByName(block_pairs(first, sketch, percent, shape.radius, BEST)).distinct())
     large = apart().filter(F.col("size") >= LARGE_BUCKET)
     if not large.isEmpty():
-        links, label = merged(block_pairs(large, sketch, percent, None))
+        links, label = merged(block_pairs(large, sketch, percent, shape.radius, None))
     of = classes.select("h1", "h2", "c").join(label, "c", "left").select(F.col("h1").alias("k1"), F.col("h2").alias("k2"), F.coalesce("label", "c").alias("component"))
     component = F.when(F.col("doc_id").isNull(), None).otherwise(F.coalesce("component", "doc_id"))
     return signed.join(of, (F.col("h1") == F.col("k1")) & (F.col("h2") == F.col("k2")), "left").select(

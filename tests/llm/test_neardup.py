@@ -101,3 +101,31 @@ def test_stage_keeps_one_of_each_group_with_its_columns(spark):
     rows = [(3, "a b c d e f g", "x"), (1, "A b c d e f g", "y"), (2, None, "z"), (4, "q r s t u v w", None)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
     assert sorted(tuple(r) for r in neardup.keep_stage(spark, df, "").collect()) == sorted(rows[1:], key=lambda r: r[0])
+
+
+def test_the_radius_serves_the_similarity(spark):
+    """Of the links at a similarity the radius may lose one in a million, by the binomial tail."""
+    from math import comb
+    for percent in range(65, 100):
+        shape = neardup.layout(percent)
+        assert shape.chunks * shape.width == 60 and shape.radius == 2 * shape.chunks - 1
+        assert sum(comb(60, k) * (100 - percent) ** k * percent ** (60 - k) for k in range(shape.radius + 1, 61)) <= 100**60 // 10**6
+    with pytest.raises(ValueError, match="50 percent"):
+        neardup.near_duplicates(spark.createDataFrame([(1, "a b c")], SCHEMA), percent=50)
+
+
+def test_links_between_the_old_and_the_new_radius_are_found(spark):
+    """Pairs at similarity 0.8 whose signatures differ in more than 23 symbols: about one border link in 3,300."""
+    import numpy as np
+    words = neardup._WordHash()
+    rows = []
+    for k in range(100_000):
+        common, mine, other = ([f"{x}{k}.{j}" for j in range(n)] for x, n in (("c", 20), ("a", 3), ("b", 2)))
+        pair = [" ".join(common + mine), " ".join(common + other)]
+        x, y = (neardup.signature(neardup.shingle_hashes(t.encode(), 1, words)) for t in pair)
+        if 23 < np.count_nonzero(x != y) <= 29:
+            rows += [(len(rows), pair[0]), (len(rows) + 1, pair[1])]
+        if len(rows) == 20:
+            break
+    assert rows
+    assert got(spark.createDataFrame(rows, SCHEMA), shingle=1, percent=80) == brute(rows, 1, 80)
