@@ -31,8 +31,8 @@ Nothing is capped: of the pairs that could join two components only those beyond
 left out, with the probability above; other links of a group may still connect theirs.
 
 Defined cases: NULL, empty or blank texts have no shingles and link with nothing. Rows
-with a NULL doc_id stay alone (component NULL, kept). Repeated rows are exact copies
-with the same id and give equal results. Empty tables give no rows. Other columns
+with a NULL doc_id stay alone (component NULL, kept; the pipeline's stage groups them as all others).
+Repeated rows are exact copies with the same id and give equal results. Empty tables give no rows. Other columns
 are ignored.
 """
 
@@ -46,7 +46,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from freshet.llm.common import as_bytes, ready, split64, stored, table, text_key
@@ -286,21 +286,23 @@ def components(links: DataFrame) -> DataFrame:
             return label
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, doc: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per document: n_shingles, component_id (smallest id reachable), kept (is that one)."""
+def set_classes(signed: DataFrame) -> DataFrame:
+    """(doc_id, row_key, n, signature, h1, h2): one row per distinct set, with its first document."""
+    return signed.filter("n_shingles > 0").groupBy("h1", "h2").agg(
+        F.min(F.struct("doc_id", "row_key")).alias("first"), F.first("n_shingles").alias("n"), F.first("signature").alias("signature")).select(
+        "first.doc_id", "first.row_key", "n", "signature", "h1", "h2")
+
+
+def linked(docs: DataFrame, classes: DataFrame, shingle: int, percent: int, doc: str, text: str) -> DataFrame:
+    """(c, label): the smallest ``c`` reachable from each class that has a link; ``classes`` has a key ``c``."""
     spark, shape = docs.sparkSession, layout(percent)
-    signed = stored(sign(docs, shingle, doc, text), "signed")
-    classes = stored(
-        signed.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("h1", "h2").agg(
-            F.min(F.struct("doc_id", "row_key")).alias("first"), F.first("n_shingles").alias("n"), F.first("signature").alias("signature"))
-        .select(F.col("first.doc_id").alias("c"), F.col("first.row_key").alias("row_key"), "n", "signature", "h1", "h2"), "classes")
     keys = chunk_keys(classes, shape)
     shared = keys.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("key", "lo")
     members = stored(keys.join(shared, "key"), "members")
-    needed = members.select("c").distinct().join(classes.select("c", "row_key"), "c")
-    rows = docs.select(F.col(doc).cast("long").alias("doc_id"), text_key(text).alias("row_key"), F.col(text).alias("text")).filter("doc_id IS NOT NULL")
-    texts = stored(rows.join(needed.withColumnRenamed("c", "doc_id"), ["doc_id", "row_key"])
-                   .groupBy(F.col("doc_id").alias("c"), "row_key").agg(F.first("text").alias("text")).select("c", "text"), "texts")
+    needed = members.select("c").distinct().join(classes.select("c", F.col("doc_id").alias("d"), F.col("row_key").alias("k")), "c")
+    rows = docs.select(F.col(doc).cast("long").alias("doc_id"), text_key(text).alias("row_key"), F.col(text).alias("text"))
+    texts = stored(rows.join(needed, rows["doc_id"].eqNullSafe(needed["d"]) & (rows["row_key"] == needed["k"]))
+                   .groupBy("c", "row_key").agg(F.first("text").alias("text")).select("c", "text"), "texts")
     label = spark.createDataFrame([], "c long, label long")
     links = spark.createDataFrame([], "c long, p long")
 
@@ -326,6 +328,15 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     large = apart().filter(F.col("size") >= LARGE_BUCKET)
     if not large.isEmpty():
         links, label = merged(block_pairs(large, sketch, percent, shape.radius, None))
+    return label
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, doc: str = "doc_id", text: str = "text") -> DataFrame:
+    """Per document: n_shingles, component_id (smallest id reachable), kept (is that one)."""
+    layout(percent)
+    signed = stored(sign(docs, shingle, doc, text), "signed")
+    classes = stored(set_classes(signed.filter("doc_id IS NOT NULL")).withColumn("c", F.col("doc_id")), "classes")
+    label = linked(docs, classes, shingle, percent, doc, text)
     of = classes.select("h1", "h2", "c").join(label, "c", "left").select(F.col("h1").alias("k1"), F.col("h2").alias("k2"), F.coalesce("label", "c").alias("component"))
     component = F.when(F.col("doc_id").isNull(), None).otherwise(F.coalesce("component", "doc_id"))
     return signed.join(of, (F.col("h1") == F.col("k1")) & (F.col("h2") == F.col("k2")), "left").select(
@@ -333,10 +344,35 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
 
 
 def keep_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: one document of each near-duplicate group (5-word shingles, 0.8), with all its columns."""
+    """Pipeline stage: one row of each near-duplicate group (5-word shingles, 0.8), with all its columns.
+
+    The classes of equal sets have keys of their own here, so rows without an id and different
+    texts of one id belong to groups as all others do. Of a group the smallest (id, text hash) stays,
+    no id last, and one of equal rows. Texts without shingles link with nothing: equal rows of them are
+    reduced to one by their id, those without an id all stay.
+    """
     ready(spark)
-    gone = near_duplicates(docs).filter("NOT kept").select(F.col("doc_id").alias("__id"), F.col("row_key").alias("__key")).distinct()
-    return docs.join(gone, F.col("doc_id").cast("long").eqNullSafe(gone["__id"]) & (text_key() == gone["__key"]), "left_anti")
+    signed = stored(sign(docs), "signed")
+    classes = stored(set_classes(signed).withColumn("c", F.monotonically_increasing_id()), "classes")
+    label = linked(docs, classes, SHINGLE, PERCENT, "doc_id", "text")
+    of = classes.select("h1", "h2", "c").join(label, "c", "left").select("h1", "h2", F.coalesce("label", "c").alias("component"))
+    each = signed.groupBy("doc_id", "row_key", "n_shingles", "h1", "h2").agg(F.count("*").alias("rows"))
+    members = stored(each.filter("n_shingles > 0").join(of, ["h1", "h2"])
+                     .select("component", F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_key").alias("row"), "rows"), "groups")
+    first = members.groupBy("component").agg(F.min("row").alias("first"))
+    bare = each.filter("n_shingles = 0 AND doc_id IS NOT NULL").select("doc_id", "row_key", F.lit(True).alias("stays"), "rows")
+    known = members.join(first, "component").select("row.doc_id", "row.row_key", (F.col("row") == F.col("first")).alias("stays"), "rows").unionByName(bare)
+    touched = stored(known.filter("NOT stays OR rows > 1").select(F.col("doc_id").alias("__id"), F.col("row_key").alias("__key"), "stays"), "touched")
+
+    def at(rows: DataFrame):
+        return F.col("doc_id").cast("long").eqNullSafe(rows["__id"]) & (text_key() == rows["__key"])
+
+    out = docs.join(touched, at(touched), "left_anti")
+    repeated = touched.filter("stays")
+    if repeated.isEmpty():
+        return out
+    equal = Window.partitionBy(F.col("doc_id").cast("long"), text_key()).orderBy(F.xxhash64(*docs.columns))
+    return out.unionByName(docs.join(repeated, at(repeated), "left_semi").withColumn("__n", F.row_number().over(equal)).filter("__n = 1").drop("__n"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

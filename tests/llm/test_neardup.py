@@ -129,3 +129,21 @@ def test_links_between_the_old_and_the_new_radius_are_found(spark):
             break
     assert rows
     assert got(spark.createDataFrame(rows, SCHEMA), shingle=1, percent=80) == brute(rows, 1, 80)
+
+
+def test_stage_keeps_exactly_one_row_of_each_group(spark):
+    base = "a b c d e f g h i j k l m n o p q r s t u v w x y z".split()
+    near = " ".join(base[:-1] + ["zz"])
+    text, far = " ".join(base), "quite another text of more than five words"
+    rows = [(5, text, "s"), (5, text, "s"), (5, text, "t"),  # loaded twice, and with another source
+            (5, near, "s"), (None, text, "s"), (None, near, "s"), (9, text.upper(), "s"),  # all of one group
+            (5, far, "s"),  # same id, another text
+            (None, "one two three four five six", "s"), (None, "One two three four five six", "s"),  # a group without ids
+            (7, None, "s"), (7, None, "s"), (8, "", "s"), (None, None, "s"), (None, " ", "s")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = [tuple(r) for r in neardup.keep_stage(spark, df, "").collect()]
+    assert len(out) == 7
+    assert sum(t in (text, near, text.upper()) for _, t, _ in out) == 1 and {i for i, t, _ in out if t in (text, near)} == {5}
+    assert (5, far, "s") in out and sum(bool(t) and t.lower().startswith("one two") for _, t, _ in out) == 1
+    assert sorted((str(i), str(t)) for i, t, _ in out if not (t or "").strip()) == [("7", "None"), ("8", ""), ("None", " "), ("None", "None")]
+    assert sorted(map(str, neardup.keep_stage(spark, df.repartition(5), "").collect())) == sorted(map(str, neardup.keep_stage(spark, df, "").collect()))
