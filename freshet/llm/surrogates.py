@@ -1,7 +1,8 @@
 """Surrogates for personal data, with built-in functions only.
 
 Detected: e-mail addresses, IPv4 addresses, phone numbers, social security numbers, card
-numbers, and names after a form of address or a known given name. A mention is reduced
+numbers, and names after a form of address or with a known given name (``names.py``), and, in
+the same document, every bare mention of such a name's surname. A mention is reduced
 to its parts (a name's words are parts of their own), each with a type and a normal
 form: digits of numbers (a phone number's last ten), lower case otherwise. A part's
 surrogate is drawn from ``sha2(key | type | normal form | attempt)``:
@@ -14,7 +15,7 @@ surrogate is drawn from ``sha2(key | type | normal form | attempt)``:
 * format: the mention's own punctuation, spacing and case carry the surrogate.
 
 Coreference: equal normal forms get one surrogate in all documents, "Mrs. Ada Moss" and
-"Ms. Moss" share the surname's. Distinctness: over the distinct parts of the corpus a
+"Ms. Moss" and a bare "Moss" of that document share the surname's. Distinctness: over the distinct parts of the corpus a
 surrogate is accepted only if no other part of the type has it and it isn't itself a
 part of the corpus; losers draw again (the collision check, one small join an
 attempt; names and e-mails grow by a syllable, so the loop ends).
@@ -25,6 +26,8 @@ one row of the map; the join back leaves splitting to AQE.
 
 Defined cases: NULL and empty texts stay as they are. Repeated rows give equal rows.
 NULL ids are allowed. An empty table gives no rows. ``replaced`` keeps all other columns.
+Not found: names with neither a form of address nor a listed given name, one-letter names, bare
+given names, surnames in lower case, and a surname that only another document introduces.
 """
 
 from __future__ import annotations
@@ -33,6 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from freshet.llm.common import ready, stored, table, text_key
+from freshet.llm.names import KNOWN, KNOWN_CYRILLIC
 
 KEY = "freshet"  # the default key; set spark.freshet.surrogate.key to a secret of your own
 ATTEMPTS = 64
@@ -56,7 +60,11 @@ GIVEN_CYRILLIC = {
 SYLLABLES = "ba be bi bo bu da de di do du fa fe ga go ha he ka ke ki ko la le li lo lu ma me mi mo na ne ni no pa pe po ra re ri ro sa se si so ta te ti to va ve vi".split()
 SYLLABLES_CYRILLIC = "ба бе би бо ва ве ви га го да де ди до за зе ка ке ко ла ле ли ло ма ме ми мо на не ни но па пе по ра ре ри ро са се со та те ти то".split()
 
-_WORD = r"\p{Lu}[\p{Ll}'’]+"
+# a name's word: inner capitals, apostrophes and hyphens, all capitals; not the 's of a genitive
+_L = r"[\p{L}\p{M}]"
+_JOINED = rf"(?:['’-](?![sS](?!{_L})){_L}+)"
+_WORD = rf"\p{{Lu}}(?:{_L}+{_JOINED}*|{_JOINED}+)"
+_INITIALS = r"(?:\p{Lu}\. ){0,2}"
 EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
 IP = r"(?<![\d.])(?:" + _OCTET + r"\.){3}" + _OCTET + r"(?!\.?\d)"
@@ -65,11 +73,25 @@ PHONE = (r"(?<![\p{L}\d])\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})[ .-]?\d{3,4}[ .-
 SSN = r"(?<![\p{L}\d-])\d{3}-\d{2}-\d{4}(?![\p{L}\d-])"
 CARD = r"(?<![\p{L}\d])\d(?:[ -]?\d){12,18}(?![\p{L}\d])"
 _TITLES = "|".join(t for g in TITLES.values() for t in g)
-_GIVEN = "|".join(n for names in (GIVEN, GIVEN_CYRILLIC) for g in ("m", "f") for n in names[g])
-NAME = rf"(?<![\p{{L}}])(?:(?:{_TITLES})\.? {_WORD}(?: {_WORD}){{0,2}}|(?:{_GIVEN}) {_WORD})"
+KNOWN_GIVEN = {g: tuple(sorted({*GIVEN[g], *GIVEN_CYRILLIC[g], *KNOWN[g].split(), *KNOWN_CYRILLIC[g].split()})) for g in "mfn"}
+
+
+def _trie(words) -> str:
+    """A pattern of the words, longest first, that shares their beginnings."""
+    tails: dict[str, list[str]] = {}
+    for w in words:
+        if w:
+            tails.setdefault(w[0], []).append(w[1:])
+    body = "|".join(c + _trie(rest) for c, rest in sorted(tails.items()))
+    return f"(?:{body}){'?' if '' in words else ''}" if body else ""
+
+
+_GIVEN = _trie({x for names in KNOWN_GIVEN.values() for n in names for x in (n, n.upper())})
+NAME = (rf"(?<!{_L})(?=[\p{{Lu}}г])(?:(?:{_TITLES})\.? {_INITIALS}{_WORD}(?: {_INITIALS}{_WORD}){{0,2}}"
+        rf"|{_GIVEN}(?:-{_WORD})?(?!{_L})(?: (?:{_GIVEN}(?!{_L})|\p{{Lu}}\.)){{0,2}} {_WORD})")
 MENTION = f"{EMAIL}|{IP}|{SSN}|{PHONE}|{CARD}|{NAME}"
 #: a cheap test that every mention passes
-MAYBE = rf"[0-9@]|(?<![\p{{L}}])(?:{_TITLES}|{_GIVEN})[. ]"
+MAYBE = rf"[0-9@]|(?<!{_L})(?=[\p{{Lu}}г])(?:{_TITLES}|{_GIVEN})[. -]"
 
 
 def _list(values) -> Column:
@@ -90,18 +112,23 @@ def _digits(x: Column) -> Column:
     return F.regexp_replace(x, r"[^0-9]", "")
 
 
+def family(name: Column) -> Column:
+    """The normal form of a name's word."""
+    return F.translate(F.lower(name), "’", "'")
+
+
 def parts(seen: DataFrame) -> DataFrame:
-    """(mention, place, kind, raw, norm): the parts of each distinct mention; kind 'title' stays as it is."""
+    """(mention, place, kind, raw, norm): the parts of each distinct mention; kind 'title' (and an initial) stays as it is."""
     m = F.col("mention")
     words = F.split(m, " ")
     title = F.regexp_replace(F.element_at(words, 1), r"\.$", "")
     titled = title.isin(*[t for g in TITLES.values() for t in g])
-    known = lambda w, g: w.isin(*GIVEN[g], *GIVEN_CYRILLIC[g])
+    known = lambda w, g: F.lower(F.regexp_extract(w, "^[^-]*", 0)).isin(*[n.lower() for n in KNOWN_GIVEN[g]])
     gender = (F.when(title.isin(*TITLES["m"]), "m").when(title.isin(*TITLES["f"]), "f")
               .when(known(F.element_at(words, 1), "m"), "m").when(known(F.element_at(words, 1), "f"), "f").otherwise("n"))
     named = F.transform(words, lambda w, i: F.struct(
-        i.alias("place"), F.when((i == 0) & titled, "title").when(i == F.size(words) - 1, "surname")
-        .otherwise(F.concat(F.lit("given_"), gender)).alias("kind"), w.alias("raw"), F.lower(w).alias("norm")))
+        i.alias("place"), F.when((i == 0) & titled | w.rlike(r"^\p{Lu}\.$"), "title").when(i == F.size(words) - 1, "surname")
+        .otherwise(F.concat(F.lit("given_"), gender)).alias("kind"), w.alias("raw"), family(w).alias("norm")))
     norm = (F.when(F.col("type") == "phone", F.substring(_digits(m), -10, 10)).when(F.col("type").isin("ssn", "card"), _digits(m))
             .otherwise(F.lower(m)))
     single = F.array(F.struct(F.lit(0).alias("place"), F.col("type").alias("kind"), m.alias("raw"), norm.alias("norm")))
@@ -167,6 +194,12 @@ def assign(entities: DataFrame, key: str) -> DataFrame:
     raise RuntimeError(f"{ATTEMPTS} draws left entities without a surrogate of their own")
 
 
+def _cased(raw: Column, sub: Column) -> Column:
+    return (F.when((raw == F.upper(raw)) & (raw != F.lower(raw)), F.upper(sub))
+            .when(F.substring(raw, 1, 1) != F.lower(F.substring(raw, 1, 1)), F.concat(F.upper(F.substring(sub, 1, 1)), F.substring(sub, 2, 1_000_000)))
+            .otherwise(sub))
+
+
 def _carried(kind: Column, raw: Column, sub: Column) -> Column:
     """A surrogate in the format of the mention's part: digits in its places, its case."""
     shift = F.length(_digits(raw)) - F.length(sub)  # digits before the normal form's (a country code) stay
@@ -175,20 +208,18 @@ def _carried(kind: Column, raw: Column, sub: Column) -> Column:
         lambda a, c: F.when(c.rlike("[0-9]"), F.struct(
             F.concat(a["out"], F.when(a["k"] < shift, c).otherwise(F.substring(sub, a["k"] - shift + 1, F.lit(1)))).alias("out"), (a["k"] + 1).alias("k")))
         .otherwise(F.struct(F.concat(a["out"], c).alias("out"), a["k"].alias("k"))), lambda a: a["out"])
-    cased = (F.when((raw == F.upper(raw)) & (raw != F.lower(raw)), F.upper(sub))
-             .when(F.substring(raw, 1, 1) != F.lower(F.substring(raw, 1, 1)), F.concat(F.upper(F.substring(sub, 1, 1)), F.substring(sub, 2, 1_000_000)))
-             .otherwise(sub))
-    return F.when(kind == "title", raw).when(kind.isin("phone", "card", "ssn"), spread).otherwise(cased)
+    return F.when(kind == "title", raw).when(kind.isin("phone", "card", "ssn"), spread).otherwise(_cased(raw, sub))
 
 
 def mention_map(seen: DataFrame, key: str) -> DataFrame:
-    """(mention, surrogate) of the distinct mentions."""
+    """(mention, surrogate, family: normal form and surrogate of its surname) of the distinct mentions."""
     part = stored(parts(seen), "parts")
     entity = assign(part.filter("kind <> 'title'").select("kind", "norm").distinct(), key)
     word = _carried(F.col("kind"), F.col("raw"), F.col("sub"))
     return (part.join(entity, ["kind", "norm"], "left").groupBy("mention")
-            .agg(F.array_sort(F.collect_list(F.struct("place", word.alias("word")))).alias("w"))
-            .select("mention", F.concat_ws(" ", F.transform("w", lambda x: x["word"])).alias("surrogate")))
+            .agg(F.array_sort(F.collect_list(F.struct("place", word.alias("word")))).alias("w"),
+                 F.max(F.when(F.col("kind") == "surname", F.struct("norm", "sub"))).alias("family"))
+            .select("mention", "family", F.concat_ws(" ", F.transform("w", lambda x: x["word"])).alias("surrogate")))
 
 
 def replaced(docs: DataFrame, doc: str = "doc_id", text: str = "text", key: str | None = None) -> DataFrame:
@@ -199,14 +230,34 @@ def replaced(docs: DataFrame, doc: str = "doc_id", text: str = "text", key: str
         .filter(F.size("m") > 0).dropDuplicates(["d", "row_key"]), "mentions")
     flat = found.select("d", "row_key", F.posexplode("m").alias("i", "mention"))
     by = stored(mention_map(flat.select("mention").distinct(), key), "surrogates")
-    subs = (flat.join(by, "mention").groupBy("d", "row_key").agg(F.array_sort(F.collect_list(F.struct("i", "surrogate"))).alias("s"))
-            .select(F.col("d").alias("__d"), F.col("row_key").alias("__key"), F.transform("s", lambda x: x["surrogate"]).alias("__s")))
+    names = F.col("__names")
+    longest = F.array_sort(F.map_keys(names), lambda a, b: F.length(b) - F.length(a))
+    bare = F.concat(F.lit(rf"(?<![\p{{L}}\p{{M}}\p{{N}}])(?=\p{{Lu}})(?iu:"), F.replace(F.array_join(longest, "|"), F.lit("'"), F.lit("['’]")),
+                    F.lit(r")(?![\p{L}\p{M}\p{N}])"))
+    subs = (flat.join(by, "mention").groupBy("d", "row_key").agg(
+        F.array_sort(F.collect_list(F.struct("i", "surrogate"))).alias("s"), F.map_from_entries(F.collect_set("family")).alias("__names"))
+        .select(F.col("d").alias("__d"), F.col("row_key").alias("__key"), F.transform("s", lambda x: x["surrogate"]).alias("__s"),
+                "__names", F.when(F.size(names) > 0, bare).alias("__bare")))
     has = F.coalesce(F.size(mentions(F.col(text))) > 0, F.lit(False))
     n = F.lit(0).cast("long").alias("n_mentions__")
-    gaps = F.split(F.col(text), MENTION, -1)
-    whole = F.array_join(F.flatten(F.zip_with(gaps, F.concat("__s", F.array(F.lit(""))), lambda g, s: F.array(g, s))), "")
+
+    def joined(gaps: Column, between: Column) -> Column:
+        return F.array_join(F.flatten(F.zip_with(gaps, F.concat(between, F.array(F.lit(""))), lambda g, s: F.array(g, s))), "")
+
+    def surnames(gap: Column) -> Column:
+        """(text, n): a text between mentions with the bare surnames of its document replaced."""
+        seen = F.regexp_extract_all(gap, F.col("__bare"), F.lit(0))
+        new = F.transform(seen, lambda w: F.coalesce(_cased(w, F.element_at(names, family(w))), w))
+        return F.when(gap.rlike(r"\p{Lu}") & F.col("__bare").isNotNull() & F.coalesce(F.regexp_like(gap, F.col("__bare")), F.lit(False)), F.struct(
+            joined(F.split(gap, F.col("__bare"), -1), new).alias("text"), F.size(seen).cast("long").alias("n"))).otherwise(
+            F.struct(gap.alias("text"), F.lit(0).cast("long").alias("n")))
+
+    gaps = F.transform(F.split(F.col(text), MENTION, -1), surnames)
+    whole = joined(F.transform(F.col("__gaps"), lambda g: g["text"]), F.col("__s"))
+    count = F.size("__s") + F.aggregate("__gaps", F.lit(0).cast("long"), lambda a, g: a + g["n"])
     changed = (docs.filter(has).join(subs, F.col(doc).cast("string").eqNullSafe(F.col("__d")) & (text_key(text) == F.col("__key")))
-               .select(*[whole.alias(c) if c == text else F.col(c) for c in docs.columns], F.size("__s").cast("long").alias("n_mentions__")))
+               .select(*docs.columns, "__s", gaps.alias("__gaps"))
+               .select(*[whole.alias(c) if c == text else F.col(c) for c in docs.columns], count.alias("n_mentions__")))
     return docs.filter(~has).select(*docs.columns, n).unionByName(changed)
 
 

@@ -80,3 +80,25 @@ def test_stage_updates_n_chars_and_keeps_columns(spark):
     df = spark.createDataFrame([(1, "Mr. Xu", 6), (2, "plain", 5), (3, None, None)], "doc_id long, text string, n_chars int")
     out = surrogates.replace_stage(spark, df, "")
     assert out.columns == df.columns and all(r["n_chars"] == (len(r["text"]) if r["text"] is not None else None) for r in out.collect())
+
+
+def test_names_of_every_form_are_replaced_whole(spark):
+    forms = ["Mr. O'Brien left", "Dr. McDonald left", "Ms. Ada Smith-Jones left", "Mr. SMITH left", "Mr. J. R. Tolkien left", "Mrs. D’Arcy’s house",
+             "John Smith left", "Mary Moss left", "Maria Garcia left", "Robin Hood left", "JOHN SMITH left", "Mary Ann Moss left", "John F. Kennedy left",
+             "Jean-Luc Picard left", "Ольга Петрова ушла"]
+    real = ["Brien", "Donald", "Jones", "Smith", "SMITH", "Tolkien", "Arcy", "Moss", "Garcia", "Hood", "Kennedy", "Picard", "Петрова"]
+    out = texts(spark, *forms)
+    assert not [(t, x) for t in out for x in real if x in t]
+    assert all(t.endswith(("left", "house", "ушла")) for t in out)
+    assert re.fullmatch(r"Mr\. [A-Z]+ left", out[3]) and re.fullmatch(r"Mrs\. [A-Z][a-z]+’s house", out[5]) and out[3][4:-5] == out[10].split()[1]
+
+
+def test_bare_surnames_follow_their_document(spark):
+    one, two, three = texts(
+        spark, "Mrs. Ada Moss came. Moss spoke, MOSS's note and mosses, moss, Mosses. Dr. O'Brien met Ann Smith-Smith; O’Brien, Smith-Smith.",
+        "Moss alone grows here at 25.86.162.211", "Mr. Moss and Moss")
+    m = re.fullmatch(r"Mrs\. (\w+) (\w+) came\. (\w+) spoke, (\w+)'s note and mosses, moss, Mosses\. Dr\. (\w+) met (\w+) (\w+); (\w+), (\w+)\.", one)
+    assert m[2] == m[3] == m[4].capitalize() != "Moss" and m[4].isupper() and m[5] == m[8] != "O'Brien" and m[7] == m[9]
+    assert two.startswith("Moss alone") and three == f"Mr. {m[2]} and {m[2]}"
+    rows = surrogates.replaced(spark.createDataFrame([(1, "Mr. Moss and Moss")], SCHEMA), key="k").collect()
+    assert rows[0]["n_mentions__"] == 2
