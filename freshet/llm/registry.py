@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from freshet.llm import decontam, langid, mixing, neardup, quality, secrets, surrogates, tokencount, topk, toxicity
+from freshet.llm import decontam, langid, merkle, mixing, neardup, quality, secrets, surrogates, tokencount, topk, toxicity
 
 QUERIES = {
     "op1_top_k": topk.query,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_language_id": langid.query,
     "op9_mix_sources": mixing.query,
     "op10_toxicity": toxicity.query,
+    "op11_merkle_manifest": merkle.query,
 }
 
 ORACLE = {
@@ -22,4 +23,5 @@ ORACLE = {
     "op3_near_duplicates": neardup.ORACLE,
     "op4_secrets": secrets.ORACLE,
     "op7_decontaminate": decontam.ORACLE,
+    "op11_merkle_manifest": merkle.ORACLE,
 }
