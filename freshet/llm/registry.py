@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from freshet.llm import decontam, langid, merkle, mixing, neardup, pqcode, quality, secrets, surrogates, tokencount, topk, toxicity
+from freshet.llm import decontam, langid, merkle, mixing, neardup, pqcode, quality, secrets, surrogates, tokencount, topk, toxicity, vecdup
 
 QUERIES = {
     "op1_top_k": topk.query,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_mix_sources": mixing.query,
     "op10_toxicity": toxicity.query,
     "op11_merkle_manifest": merkle.query,
+    "op12_embedding_duplicates": vecdup.query,
     "op13_vector_codes": pqcode.query,
 }
 
@@ -25,5 +26,6 @@ ORACLE = {
     "op4_secrets": secrets.ORACLE,
     "op7_decontaminate": decontam.ORACLE,
     "op11_merkle_manifest": merkle.ORACLE,
+    "op12_embedding_duplicates": vecdup.ORACLE,
     "op13_vector_codes": pqcode.ORACLE,
 }
