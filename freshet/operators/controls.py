@@ -143,6 +143,26 @@ def missing_load_days(audit: DataFrame, ts: str = "last_load_time") -> DataFrame
     return anti_join(calendar, "missing_date", days, "load_date", keep_null_left=False).orderBy("missing_date")
 
 
+def missing_load_spans(audit: DataFrame, asof=None, ts: str = "last_load_time", table: str = "table_name") -> DataFrame:
+    """Z5 by table: every run of days without a load between two loads, and the open one up to ``asof``.
+
+    Gaps and islands over the distinct loaded days of each table: a day's successor is the next loaded
+    day, or the day after ``asof`` for the last one (the heartbeat); where they are more than a day
+    apart, the days between are a span. No calendar is generated, so a table that was quiet for years costs
+    one row. ``is_open``: the span reaches to ``asof``, nothing was loaded since. Loads after ``asof`` and
+    rows without a load time are left out; a table with no load at all has no span.
+    """
+    today = F.to_date(asof_or_now(asof))
+    days = audit.select(F.col(table).alias("table_name"), F.to_date(ts).alias("_day")).filter(F.col("_day") <= today).distinct()
+    following = F.lead("_day").over(Window.partitionBy("table_name").orderBy("_day"))
+    spans = days.withColumn("_next", following).withColumn("is_open", F.col("_next").isNull())
+    spans = spans.withColumn("_next", F.coalesce("_next", F.date_add(today, 1)))
+    return (spans.filter(F.datediff("_next", "_day") > 1)
+                 .select("table_name", F.date_add("_day", 1).alias("first_missing"), F.date_sub("_next", 1).alias("last_missing"),
+                         (F.datediff("_next", "_day") - 1).alias("missing_days"), "is_open")
+                 .orderBy(F.asc_nulls_last("table_name"), "first_missing"))
+
+
 def missing_files(expected: DataFrame, audit: DataFrame, col: str = "file_name",
                   audit_col: str = "file_name") -> DataFrame:
     """Expected files (or batches) that the load audit never recorded."""

@@ -36,6 +36,12 @@ def warehouse_credits(metering: DataFrame, asof=None, n: int = 1, unit: str = "d
                     .orderBy(F.desc_nulls_last(alias), F.asc_nulls_last("warehouse_name")))
 
 
+def daily_credits(metering: DataFrame) -> DataFrame:
+    """Exact credits per day and warehouse, all days: the rows of the stored rollup (``streaming.refresh``)."""
+    return (metering.groupBy(F.to_date("start_time").alias("usage_date"), "warehouse_name")
+                    .agg(F.sum("credits_used").cast("decimal(28,6)").alias("credits_used")))
+
+
 def _daily_credits(metering: DataFrame, asof, days: int, date_col: str | None) -> DataFrame:
     return (metering.filter(in_lookback("start_time", asof, days, "day", date_col))
                     .groupBy(F.to_date("start_time").alias("usage_date"), "warehouse_name")

@@ -992,3 +992,6 @@ ORDER BY start_time DESC NULLS LAST, query_id LIMIT 20""", ("query_history",))
 def q_stored_recent_queries(spark, d):
     path = sinks.scratch_table(T.query_history(spark, d), "query-history")
     return usage.recent_queries(readers.read_query_history(spark, path), WAREHOUSE)
+
+
+from freshet.plans import maintained  # noqa: E402,F401  registers the queries of the maintained tables

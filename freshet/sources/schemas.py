@@ -36,6 +36,13 @@ PIPELINE_CONTROL = T.StructType([
     T.StructField("last_successful_timestamp", T.TimestampNTZType(), True),
 ])
 
+# The composite mark of ``streaming.marks``: the last row read in the order (timestamp, key).
+PIPELINE_MARKS = T.StructType([
+    T.StructField("pipeline_name", T.StringType(), True),
+    T.StructField("last_successful_timestamp", T.TimestampNTZType(), True),
+    T.StructField("last_successful_key", T.LongType(), True),
+])
+
 QUERY_HISTORY = T.StructType([
     T.StructField("query_id", T.StringType(), True),
     T.StructField("user_name", T.StringType(), True),
@@ -56,6 +63,13 @@ WAREHOUSE_METERING_HISTORY = T.StructType([
     T.StructField("credits_used", T.DecimalType(18, 6), True),
 ])
 
+# The stored daily rollup of the metering log (``streaming.refresh``).
+USAGE_DAILY = T.StructType([
+    T.StructField("usage_date", T.DateType(), True),
+    T.StructField("warehouse_name", T.StringType(), True),
+    T.StructField("credits_used", T.DecimalType(28, 6), True),
+])
+
 LOAD_AUDIT = T.StructType([
     T.StructField("file_name", T.StringType(), True),
     T.StructField("table_name", T.StringType(), True),
@@ -63,6 +77,15 @@ LOAD_AUDIT = T.StructType([
     T.StructField("row_count", T.LongType(), True),
 ])
 
+# The audit written with each batch (``streaming.batches``), stored by batch (``file_name``).
+BATCH_AUDIT = T.StructType([
+    T.StructField("table_name", T.StringType(), True),
+    T.StructField("row_count", T.LongType(), True),
+    T.StructField("first_load_time", T.TimestampNTZType(), True),
+    T.StructField("last_load_time", T.TimestampNTZType(), True),
+    T.StructField("file_name", T.StringType(), True),
+])
+
 SCHEMAS: dict[str, T.StructType] = {
     "staging_events": STAGING_EVENTS,
     "source_events": STAGING_EVENTS,
@@ -71,6 +94,7 @@ SCHEMAS: dict[str, T.StructType] = {
     "curated_daily_events": CURATED_DAILY_EVENTS,
     "provider_string_source": PROVIDER_STRING_SOURCE,
     "pipeline_control": PIPELINE_CONTROL,
+    "pipeline_marks": PIPELINE_MARKS,
     "query_history": QUERY_HISTORY,
     "warehouse_metering_history": WAREHOUSE_METERING_HISTORY,
     "load_audit": LOAD_AUDIT,

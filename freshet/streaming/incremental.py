@@ -141,6 +141,7 @@ def load_increment(spark, source: DataFrame, target_path: str, control_path: str
     before = read_watermark(control, pipeline)
     batch = incremental_by_control(source, control, pipeline, col=col, date_col=date_col)
     batch = first_per_key(batch, key, "loaded_at" if "loaded_at" in batch.columns else col)
+    sinks.recover_table(spark, target_path)
     if sinks.path_exists(spark, target_path):
         existing = spark.read.schema(batch.schema).parquet(target_path)
         if before is not None:
