@@ -5,13 +5,17 @@
 * Labels are per document, so token labels are derived from the sample: in a toxic
   document the words are toxic whose rate among toxic documents exceeds that among
   others by ``LOG_ODDS`` (and that at least ``LEAST`` and one in 200 toxic documents hold); others are ok.
-* Emissions are sums of weights hashed from the word, its head and its tail; with
+* Emissions are a bias and weights hashed from the word, its head and its tail; with
   transitions they are fitted in numpy by stochastic gradients of the chain's likelihood
-  (expected minus observed counts, by forward-backward).
+  (expected minus observed counts, by forward-backward). The bias makes ok the prior. Words that a
+  single sampled document holds share one weight in place of theirs, which thus learns what unseen words are,
+  and unseen words get it when texts are scored.
 * With two states forward and backward messages are one odds ratio each, so all chains of
   a batch advance together, one word a step. Marginals aggregate to the document: the largest
-  logit, the expected number of toxic words and their share go through a logistic fit on the
-  sample whose weights are kept from falling below 0, so more evidence never lowers a score. Words with a marginal of one half or more are the offending offsets.
+  logit, the expected number of toxic words and their share (both over the marginals of FLOOR or more: many near-zeros
+  of a long text are no evidence) go through a logistic fit whose weights are kept from falling below 0, so more
+  evidence never lowers a score. It is fitted on marginals of documents that their field was not fitted on (FOLDS parts of
+  the sample, each scored by the field of the others). Words with a marginal of one half or more are the offending offsets.
 
 Sample: at most ``TOXIC`` toxic and ``CLEAN`` other labelled documents that are not held out,
 of at most ``SAMPLE_CHARS`` characters (the smallest hashes of the id). That is the
@@ -44,6 +48,11 @@ SAMPLE_CHARS = 20_000
 LOG_ODDS = 2.0
 LEAST = 3
 EPOCHS = 8
+FLOOR = 0.1
+FOLDS = 3
+LEAST_LOGIT = float(np.log(0.01 / 0.99))
+UNSEEN, BIAS, NOTHING = BUCKETS, BUCKETS + 1, BUCKETS + 2  # weights of words outside the sample and of every word; NOTHING's stays 0
+STEPS = 240  # gradient steps at least: a small sample takes more passes
 HELD_OUT = 4, 2
 THRESHOLD = 0.3
 CHUNK_BYTES = 1 << 20
@@ -108,7 +117,8 @@ def forward_backward(x: np.ndarray, lay: Layout, move: np.ndarray, start: float)
 @dataclass
 class Field:
     """Weights of the random field and of the document score."""
-    weight: np.ndarray = field(default_factory=lambda: np.zeros(BUCKETS))
+    weight: np.ndarray = field(default_factory=lambda: np.zeros(BUCKETS + 3))
+    seen: np.ndarray = field(default_factory=lambda: np.zeros(BUCKETS, bool))
     move: np.ndarray = field(default_factory=lambda: np.zeros((2, 2)))
     start: float = 0.0
     document: np.ndarray = field(default_factory=lambda: np.zeros(4))
@@ -130,25 +140,31 @@ class Field:
 class _Emission(dict):
     """exp(emission) of a word, remembered; emptied when full."""
 
-    def __init__(self, weight: np.ndarray):
+    def __init__(self, model: Field):
         super().__init__()
-        self.weight = weight
+        self.weight, self.seen = model.weight, model.seen
 
     def __missing__(self, word: bytes) -> float:
         if len(self) >= _MEMO:
             self.clear()
-        self[word] = x = float(np.exp(np.clip(sum(self.weight[b] for b in feature_buckets(word)), -20, 20)))
+        own, head, tail = feature_buckets(word)
+        known = self.weight[own] + self.weight[head] + self.weight[tail] if self.seen[own] else self.weight[UNSEEN]
+        total = known + self.weight[BIAS]
+        self[word] = x = float(np.exp(np.clip(total, -20, 20)))
         return x
 
 
 def document_stats(p: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Largest logit, log of the expected number of toxic words and their (smoothed) share, of each document."""
-    out = np.full((len(counts), 3), [-12.0, np.log(1e-3), 0.0])
+    """Largest logit, log of the expected number of toxic words and their (smoothed) share, of each document.
+
+    The logit is cut at that of a hundredth: how sure a clean word is makes no difference.
+    """
+    out = np.full((len(counts), 3), [LEAST_LOGIT, np.log(1e-3), 0.0])
     some = np.flatnonzero(counts)
     if len(some):
         starts = (np.cumsum(counts) - counts)[some]
-        top = np.clip(np.maximum.reduceat(p, starts), 1e-6, 1 - 1e-6)
-        total = np.add.reduceat(p, starts)
+        top = np.clip(np.maximum.reduceat(p, starts), 1e-2, 1 - 1e-6)
+        total = np.add.reduceat(np.where(p >= FLOOR, p, 0.0), starts)
         out[some] = np.stack([np.log(top / (1 - top)), np.log(total + 1e-3), total / (counts[some] + 10)], axis=1)
     return out
 
@@ -165,29 +181,28 @@ def train_rows(docs: DataFrame, labels: DataFrame, label: str, toxic: int = TOXI
     return sorted((r["text"].encode(), r["y"]) for r in rows)
 
 
-def fit(rows: list, seed: int = 9) -> Field:
+def _field(texts: list[list[bytes]], chain_lengths: list[np.ndarray], y: np.ndarray, seed: int) -> Field:
+    """The random field of one set of labelled documents."""
     out = Field()
-    y = np.array([r[1] for r in rows])
-    if not len(y) or y.min() == y.max():
-        share = float(y.mean()) if len(y) else 0.0
-        out.document[3] = 40.0 if share == 1 else -40.0
-        return out
-    texts = [[w for c in cs for w in c] for cs in map(chains, (r[0] for r in rows))]
     bad, good = Counter(), Counter()
     for words, label in zip(texts, y.tolist(), strict=True):
         (bad if label else good).update(set(words))
     n_bad, n_good = int(y.sum()), int(len(y) - y.sum())
     least = max(LEAST, n_bad // 200)
     toxic = {w for w, n in bad.items() if n >= least and np.log((n + 0.5) / (n_bad + 1)) - np.log((good[w] + 0.5) / (n_good + 1)) >= LOG_ODDS}
-    buckets = {w: feature_buckets(w) for words in texts for w in words}
+    buckets = {}
+    for w in {w for words in texts for w in words}:
+        own, head, tail = feature_buckets(w)
+        common = bad[w] + good[w] > 1
+        out.seen[own] |= common
+        buckets[w] = (own, head, tail, BIAS) if common else (UNSEEN, NOTHING, NOTHING, BIAS)
     docs = []
-    for (text, label), words in zip(rows, texts, strict=True):
-        f = np.array([buckets[w] for w in words], np.int64).reshape(-1, 3)
-        tags = np.array([bool(label) and w in toxic for w in words], float)
-        docs.append((f, tags, np.array([len(c) for c in chains(text)], np.int64)))
+    for words, label, lengths in zip(texts, y.tolist(), chain_lengths, strict=True):
+        f = np.array([buckets[w] for w in words], np.int64).reshape(-1, 4)
+        docs.append((f, np.array([bool(label) and w in toxic for w in words], float), lengths))
     rng = np.random.default_rng(seed)
-    seen, seen_move = np.full(BUCKETS, 1e-2), np.full((2, 2), 1.0)
-    for epoch in range(EPOCHS):
+    seen, seen_move = np.full(BUCKETS + 3, 1e-2), np.full((2, 2), 1.0)
+    for _ in range(max(EPOCHS, -(-STEPS // -(-len(docs) // 128)))):
         order = rng.permutation(len(docs))
         for a in range(0, len(order), 128):
             part = [docs[k] for k in order[a:a + 128]]
@@ -197,7 +212,8 @@ def fit(rows: list, seed: int = 9) -> Field:
             x, move = np.exp(np.clip(out.weight[f].sum(axis=1), -20, 20)), np.exp(out.move)
             left, right = forward_backward(x, Layout(lengths), move, float(np.exp(out.start)))
             p = left * right / (1 + left * right)
-            g = np.bincount(f.ravel(), np.repeat(p - tags, 3), BUCKETS) / 8 + 1e-4 * out.weight
+            g = np.bincount(f.ravel(), np.repeat(p - tags, 4), BUCKETS + 3) / 8 + 1e-4 * out.weight
+            g[NOTHING] = 0
             last = np.cumsum(lengths) - 1
             inner = np.ones(len(x), bool)
             inner[last[last >= 0]] = False
@@ -213,9 +229,34 @@ def fit(rows: list, seed: int = 9) -> Field:
             out.weight -= 0.5 * g / np.sqrt(seen)
             out.move -= 0.2 * g_move / np.sqrt(seen_move)
             out.start -= 0.2 * float((p[first] - tags[first]).mean())
-    emission = _Emission(out.weight)
-    x = np.array([emission[w] for words in texts for w in words])
-    stats = document_stats(out.marginals(x, np.concatenate([d[2] for d in docs])), np.array([len(w) for w in texts], np.int64))
+    return out
+
+
+def _stats(model: Field, texts: list[list[bytes]], chain_lengths: list[np.ndarray]) -> np.ndarray:
+    emission = _Emission(model)
+    x = np.array([emission[w] for words in texts for w in words], float)
+    lengths = np.concatenate([*chain_lengths, np.empty(0, np.int64)])
+    return document_stats(model.marginals(x, lengths), np.array([len(w) for w in texts], np.int64))
+
+
+def fit(rows: list, seed: int = 9) -> Field:
+    y = np.array([r[1] for r in rows])
+    if not len(y) or y.min() == y.max():
+        out, share = Field(), float(y.mean()) if len(y) else 0.0
+        out.document[3] = 40.0 if share == 1 else -40.0
+        return out
+    cut = [chains(r[0]) for r in rows]
+    texts, lengths = [[w for c in cs for w in c] for cs in cut], [np.array([len(c) for c in cs], np.int64) for cs in cut]
+    out = _field(texts, lengths, y, seed)
+    fold = np.empty(len(y), int)
+    for label in (0, 1):  # every part holds its share of both kinds
+        of = np.flatnonzero(y == label)
+        fold[of] = np.random.default_rng(seed + 1).permutation(len(of)) % FOLDS
+    stats = np.empty((len(y), 3))
+    for k in range(FOLDS):
+        apart, rest = np.flatnonzero(fold == k).tolist(), np.flatnonzero(fold != k).tolist()
+        part = _field([texts[i] for i in rest], [lengths[i] for i in rest], y[rest], seed)
+        stats[apart] = _stats(part, [texts[i] for i in apart], [lengths[i] for i in apart])
     out.mean, out.scale = stats.mean(axis=0), stats.std(axis=0) + 1e-6
     z = np.hstack([(stats - out.mean) / out.scale, np.ones((len(y), 1))])
     use = [0, 1, 2, 3]
@@ -249,7 +290,7 @@ def tag(docs: DataFrame, model: Field, doc: str = "doc_id", text: str = "text")
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, emission = held.value, _Emission(held.value.weight)
+        at, emission = held.value, _Emission(held.value)
         for batch in batches:
             texts, score, spans = as_bytes(batch.column(2)), [], []
             for a, b in chunks_of(texts, CHUNK_BYTES):
