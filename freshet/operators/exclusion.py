@@ -42,9 +42,12 @@ def unmatched_providers(events: DataFrame, dim: DataFrame, key: str = "provider_
     return listing(rows, "event_id", F.desc_nulls_last("event_timestamp"), F.asc_nulls_last("event_id"))
 
 
-def missing_keys(dim: DataFrame, events: DataFrame, key: str = "provider_id") -> DataFrame:
-    """Lookup keys with no event (``NOT EXISTS``); a NULL lookup key is kept."""
-    return anti_join(dim.select(key), key, distinct_keys_of(events, key))
+def missing_keys(dim: DataFrame, events: DataFrame, key: str = "provider_id", bucketed: bool = False) -> DataFrame:
+    """Lookup keys with no event (``NOT EXISTS``); a NULL lookup key is kept.
+
+    ``bucketed``: both tables are stored bucketed by the key, nothing is shuffled.
+    """
+    return anti_join(dim.select(key), key, distinct_keys_of(events, key), bucketed=bucketed)
 
 
 def orphan_events(events: DataFrame, dim: DataFrame, key: str = "provider_id") -> DataFrame:

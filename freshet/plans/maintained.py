@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from freshet.functions import ntz
-from freshet.operators import controls, quarantine, usage
+from freshet.operators import controls, duplicates, exclusion, quarantine, usage
 from freshet.plans.queries import ANOMALY_FACTOR, ORACLE, USAGE_ASOF, register
 from freshet.sources import schemas, sinks
 from freshet.sources import tables as T
@@ -183,6 +183,33 @@ def q_maintained_duplication_extent(spark, d):
     return keystate.duplication_extent(_key_state(spark, d))
 
 
+# --------------------------------------------------------------- D3/E1/C9 on bucketed storage
+
+BUCKETS = 8
+
+
+def _bucketed(spark, df, key):
+    path = sinks.scratch_path(spark, "bucketed")
+    name = "bucketed_" + path.rsplit("-", 1)[1]
+    return spark.table(sinks.write_bucketed(df, name, key, BUCKETS, path))
+
+
+@register("bucketed_dedup", ORACLE["dedup_keep_first"])
+def q_bucketed_dedup(spark, d):
+    return duplicates.dedup_keep_first(_bucketed(spark, T.staging_events_dup(spark, d), "event_id"))
+
+
+@register("bucketed_key_occurrences", ORACLE["key_occurrences"])
+def q_bucketed_key_occurrences(spark, d):
+    return duplicates.key_occurrences(_bucketed(spark, T.staging_events_dup(spark, d), "event_id"))
+
+
+@register("bucketed_missing_keys", ORACLE["providers_without_events"])
+def q_bucketed_missing_keys(spark, d):
+    dim = _bucketed(spark, T.dim_provider_lookup(spark, d), "provider_id")
+    return exclusion.missing_keys(dim, _bucketed(spark, T.staging_events(spark, d), "provider_id"), bucketed=True)
+
+
 # --------------------------------------------------------------- Z4: quarantine
 
 @register("quarantined_rows", """

@@ -392,3 +392,49 @@ def test_rollup_refresh_after_late_metering(spark, scratch):
     for monitor in (controls.usage_anomalies, controls.credit_quota_status):
         assert rows(monitor(rolled)) == rows(monitor(own))
     assert len(set(before) - set(files(path))) <= 2 * max(1, len([f for f in before if "2024-01-15" in f]))
+
+
+# ------------------------------------------------------------------ bucketed storage
+
+def test_bucketed_tables_are_checked_without_a_shuffle(spark, scratch):
+    from freshet.operators import exclusion
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        src, dim = T.staging_events_dup(spark, SF), T.dim_provider_lookup(spark, SF)
+        by_event = spark.table(sinks.write_bucketed(src, "b_events", "event_id", 4, os.path.join(scratch, "e")))
+        by_provider = spark.table(sinks.write_bucketed(src, "b_providers", "provider_id", 4, os.path.join(scratch, "p")))
+        lookup = spark.table(sinks.write_bucketed(dim, "b_lookup", "provider_id", 4, os.path.join(scratch, "d")))
+        jobs = {
+            "count": (duplicates.key_occurrences(by_event), duplicates.key_occurrences(src)),
+            "dedup": (duplicates.dedup_keep_first(by_event), duplicates.dedup_keep_first(src)),
+            "anti": (exclusion.missing_keys(lookup, by_provider, bucketed=True), exclusion.missing_keys(dim, src)),
+        }
+        for name, (ours, plain) in jobs.items():
+            plan = plan_text(ours)
+            assert "Exchange" not in plan and "Bucketed: true" in plan, name
+            assert "Exchange" in plan_text(plain)
+            assert sorted(rows(ours), key=str) == sorted(rows(plain), key=str)
+        # a NULL key on the left is kept, with and without buckets
+        none = dim.limit(1).withColumn("provider_id", F.lit(None).cast("long"))
+        more = spark.table(sinks.write_bucketed(dim.unionByName(none), "b_lookup2", "provider_id", 4, os.path.join(scratch, "n")))
+        assert None in [r[0] for r in exclusion.missing_keys(more, by_provider, bucketed=True).collect()]
+        assert len(glob.glob(os.path.join(scratch, "e", "*.parquet"))) <= 4
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_plain_queries_stay_when_the_subpackage_cannot_be_imported(monkeypatch):
+    import builtins
+
+    import __spark_entry__ as entry
+    real = builtins.__import__
+
+    def broken(name, *args, **kwargs):
+        if name.startswith("freshet.llm"):
+            raise ModuleNotFoundError("no module named xxhash")
+        return real(name, *args, **kwargs)
+    monkeypatch.setattr(builtins, "__import__", broken)
+    names = entry.queries()
+    assert "curated_daily_events" in names and "pipeline" not in names and not any(n.startswith("op") and n[2].isdigit() for n in names)
+    assert set(entry.oracle_sql()) == set(names)
