@@ -39,29 +39,33 @@ CANDIDATE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}"
 WINDOW = 20
 CLASSES = (("^[0-9a-fA-F]+$", 2.9), ("^[A-Za-z0-9]+$", 3.6), ("", 3.7))
 ALLOWED = (r"^[^0-9]*$", r"^[^A-Za-z]*$", r"^[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}$",
-           r"^[a-z]+(?:[-_/][a-z]+)*[-_/]?[0-9]{1,4}$", r"(?i)example|sample|placeholder|changeme")
+           r"^[a-z]++(?:[-_/][a-z]++)*+[-_/]?[0-9]{1,4}$", r"(?i)example|sample|placeholder|changeme")
 ALPHABET = "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ+/_=-"
 KINDS = ("assign", "access", "hex", "entropy")
 
 
 def best_entropy(value: Column, window: int = WINDOW) -> Column:
-    """The largest Shannon entropy (bits a character) of any window of the string."""
+    """The largest Shannon entropy (bits a character) of any window of the string, in time linear in its length.
+
+    The moves (entering and leaving character) pair the characters with themselves ``window`` places
+    later, as whole arrays; a step reads its own move and the window's counts, never the candidate.
+    """
     chars = F.transform(F.split(value, ""), lambda c: F.instr(F.lit(ALPHABET), c))
+    leaving = F.concat(F.array_repeat(F.lit(-1), window), chars)
+    moves = F.slice(F.arrays_zip(chars.alias("new"), leaving.alias("old")), F.lit(1), F.length(value))
     part = lambda c: F.when(c > 1, c * F.log2(c)).otherwise(F.lit(0.0))
-    start = F.struct(F.array_repeat(F.lit(0), len(ALPHABET) + 1).alias("n"), F.lit(0.0).alias("s"), F.lit(0.0).alias("best"))
+    start = F.struct(F.array_repeat(F.lit(0), len(ALPHABET) + 1).alias("n"), F.lit(0.0).alias("s"), F.lit(0.0).alias("best"), F.lit(0).alias("i"))
 
     def step(a: Column, x: Column) -> Column:
-        new, old, i = x["new"], x["old"], x["i"]
+        new, old, i = x["new"], x["old"], a["i"] + 1
         up = F.element_at(a["n"], new + 1)
         entered = a["s"] + part(up + 1) - part(up)
         down = F.element_at(a["n"], F.greatest(old, F.lit(0)) + 1) + F.when(new == old, 1).otherwise(0)
         s = F.when(old >= 0, entered + part(down - 1) - part(down)).otherwise(entered)
         counts = F.transform(a["n"], lambda c, k: c + F.when(k == new, 1).otherwise(0) - F.when(k == old, 1).otherwise(0))
         h = F.log2(F.lit(float(window))) - s / F.lit(float(window))
-        return F.struct(counts.alias("n"), s.alias("s"), F.when(i + 1 >= window, F.greatest(a["best"], h)).otherwise(a["best"]).alias("best"))
+        return F.struct(counts.alias("n"), s.alias("s"), F.when(i >= window, F.greatest(a["best"], h)).otherwise(a["best"]).alias("best"), i.alias("i"))
 
-    moves = F.transform(chars, lambda c, i: F.struct(
-        c.alias("new"), F.when(i >= window, F.element_at(chars, F.greatest(i - window + 1, F.lit(1)))).otherwise(F.lit(-1)).alias("old"), i.alias("i")))
     return F.aggregate(moves, start, step, lambda a: a["best"])
 
 
@@ -130,7 +134,8 @@ def _oracle() -> str:
         f"SELECT doc_id, {k} AS k, unnest(range(1, len(m) + 1)) AS i, unnest(m) AS v, unnest(g[:len(m)]) AS gap FROM "
         f"(SELECT doc_id, regexp_extract_all(x, {_sql(p)}) AS m, string_split_regex(x, {_sql(p)}) AS g FROM doc)" for k, p in enumerate(patterns))
     least = " ".join(f"WHEN regexp_matches(v, {_sql(p)}) THEN {bits}" for p, bits in CLASSES[:-1])
-    allowed = " OR ".join(f"regexp_matches(v, {_sql(p)})" for p in ALLOWED)
+    plain = [p.replace("++", "+").replace("*+", "*") for p in ALLOWED]  # possessive, for Java's stack, matches the same here
+    allowed = " OR ".join(f"regexp_matches(v, {_sql(p)})" for p in plain)
     names = ", ".join(f"'{n}'" for n in KINDS)
     return f"""
 WITH doc AS (SELECT doc_id, coalesce(text, '') AS x FROM documents),

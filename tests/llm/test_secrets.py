@@ -89,3 +89,18 @@ def test_whole_table(spark, queried):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     want = sorted((expected(r["doc_id"], r["text"]) for r in docs.collect()), key=str)
     assert queried(docs) == want
+
+
+def test_long_candidates_take_time_in_proportion(spark, queried):
+    import random
+    import time
+    rng = random.Random(5)
+    noise = "".join(rng.choice("abcdefghijkmnpqrstuvwxyz0123456789+/") for _ in range(200_000))
+    low = "xy1" * 100_000  # long, but of low entropy: not reported
+    words = "-".join(["word"] * 100_000) + "-12"  # on the allow list
+    rows = [(1, f"x {noise} y"), (2, low), (3, words), (4, low + noise[:40])]
+    start = time.time()
+    got = queried(run(spark, rows))
+    assert time.time() - start < 120
+    assert got == sorted((expected(*r) for r in rows), key=str)
+    assert f"entropy:2:{len(noise) + 2}" in got[0][-1] and got[1][-1] == got[2][-1] == ""
