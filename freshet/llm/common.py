@@ -70,6 +70,20 @@ def stored(df: DataFrame, what: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession, *tables: DataFrame) -> None:
+    """Remove stored tables that nothing reads any more, and let the driver collect what finished jobs left.
+
+    Spark removes the shuffle files and broadcasts of a finished job from all executors when the driver's
+    garbage collector meets the objects that stood for them; a driver with little to do may not run
+    it for long, so disks keep the files of every step. Only call it on tables whose successors are written.
+    """
+    for t in tables:
+        for folder in {f.rsplit("/", 1)[0] for f in t.inputFiles()}:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    spark.sparkContext._jvm.System.gc()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return ready(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -92,16 +106,23 @@ def crc_mod(doc_id: str, m: int) -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % m, F.lit(-1))
 
 
-def smallest_hashes(ids: DataFrame, by: str, most: Column, salts: int = 256) -> DataFrame:
-    """Of rows (id, ``by``): the ``most`` smallest hashes of the id of each group, as (id, ``by``, r).
+def smallest_hashes(ids: DataFrame, by: str, most: Column) -> DataFrame:
+    """Of rows (id, ``by``): the ``most`` smallest hashes of the distinct ids of each group, as (id, ``by``, r).
 
-    Ranked in two steps, within salts and then among what they leave, so that no task
-    orders a whole group. The result is bounded by ``most`` a group.
+    An id counts once however many rows it has, with the smallest of its groups that the bound below lets
+    through. The bound is on the hash: from the group's number of distinct ids, estimated within a hundredth,
+    it is set so that somewhat more than ``most`` pass (all of a smaller group), whatever the table's size. Only those
+    are shuffled and ranked, so no task meets a whole group.
     """
-    h, salt = F.xxhash64("id").alias("h"), F.pmod(F.xxhash64("id", F.lit(1)), F.lit(salts)).alias("salt")
-    inner, outer = Window.partitionBy(by, "salt").orderBy("h", "id"), Window.partitionBy(by).orderBy("h", "id")
-    some = ids.select("id", by, h, salt).withColumn("r", F.row_number().over(inner)).filter(F.col("r") <= most)
-    return some.withColumn("r", F.row_number().over(outer)).filter(F.col("r") <= most).select("id", by, "r")
+    span = 1 << 40
+    h = F.pmod(F.xxhash64("id"), F.lit(span))
+    groups = ids.groupBy(by).agg(F.approx_count_distinct("id", 0.01).alias("n"))
+    wanted = most * 1.06 + F.sqrt(most.cast("double")) * 6 + 64
+    groups = groups.select(F.col(by).alias("__of"), (wanted / F.greatest(F.col("n"), F.lit(1)) * span).alias("__below"))
+    few = (ids.select("id", by).join(groups, F.col(by) == F.col("__of")).filter(h < F.col("__below"))
+           .groupBy("id").agg(F.min(by).alias(by)))
+    rank = Window.partitionBy(by).orderBy(h, "id")
+    return few.withColumn("r", F.row_number().over(rank)).filter(F.col("r") <= most).select("id", by, "r")
 
 
 def as_bytes(column: pa.Array | pa.ChunkedArray) -> list[bytes | None]:

@@ -101,7 +101,9 @@ def train_rows(docs: DataFrame, per_lang: int = PER_LANG) -> DataFrame:
         .filter(F.col("lang").isNotNull() & (crc_mod("id", HELD_OUT) != 0) & F.col("text").isNotNull())
     chosen = smallest_hashes(able, "lang", F.lit(per_lang)).select(F.col("id").alias("chosen"), F.col("lang").alias("as"))
     # at most per_lang rows a language: small enough to send to every task, so no text is shuffled
-    return able.join(F.broadcast(chosen), (F.col("id") == F.col("chosen")) & (F.col("lang") == F.col("as"))).select("id", "lang", "text")
+    # repeated rows of an id are one document: its smallest text
+    return (able.join(F.broadcast(chosen), (F.col("id") == F.col("chosen")) & (F.col("lang") == F.col("as")))
+            .groupBy("id", "lang").agg(F.min("text").alias("text")).select("id", "lang", "text"))
 
 
 def features(rows: DataFrame) -> DataFrame:

@@ -191,9 +191,11 @@ def sample(pool: DataFrame, labels: DataFrame, label: str, most: int = SAMPLE) -
     """At most ``most`` labelled vectors that are not held out: the smallest hashes of the id."""
     known = labels.select(F.col("doc_id").cast("long").alias("id"), F.col(label).cast("double").alias("y")).filter(
         F.col("y").isin(0.0, 1.0) & F.col("id").isNotNull() & (crc_mod("id", HELD_OUT[0]) != HELD_OUT[1]))
-    chosen = smallest_hashes(known.withColumn("all", F.lit(1)), "all", F.lit(most)).select("id").distinct()
-    known = known.join(F.broadcast(chosen), "id")  # at most ``most`` ids
-    rows = pool.join(F.broadcast(known), F.col("doc_id") == F.col("id")).select("doc_id", "y", "v").collect()
+    chosen = smallest_hashes(known.withColumn("all", F.lit(1)), "all", F.lit(most)).select("id")
+    # at most ``most`` ids, each with one label (the smaller of two) and one of its documents' vectors
+    known = known.join(F.broadcast(chosen), "id").groupBy("id").agg(F.min("y").alias("y"))
+    rows = (pool.join(F.broadcast(known), F.col("doc_id") == F.col("id")).groupBy("doc_id")
+            .agg(F.min("y").alias("y"), F.min("v").alias("v")).select("doc_id", "y", "v").collect())
     rows.sort(key=lambda r: (r["doc_id"], r["y"], r["v"]))
     if not rows:
         return np.zeros((0, 2 * DIM + 2)), np.zeros(0)

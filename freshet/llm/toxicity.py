@@ -177,8 +177,9 @@ def train_rows(docs: DataFrame, labels: DataFrame, label: str, toxic: int = TOXI
     ids = known.filter((crc_mod("id", HELD_OUT[0]) != HELD_OUT[1]) & F.col("id").isNotNull())
     chosen = smallest_hashes(ids, "y", F.when(F.col("y") == 1, toxic).otherwise(clean))
     # at most toxic + clean rows: small enough to send to every task, so no text is shuffled
-    rows = able.select(F.col("doc_id").alias("id"), "text").join(F.broadcast(chosen), "id").select("y", "text").collect()
-    return sorted((r["text"].encode(), r["y"]) for r in rows)
+    # repeated rows of an id are one document: its smallest text
+    rows = able.select(F.col("doc_id").alias("id"), "text").join(F.broadcast(chosen), "id").groupBy("id").agg(F.min("y").alias("y"), F.min("text").alias("text"))
+    return sorted((r["text"].encode(), r["y"]) for r in rows.collect())
 
 
 def _field(texts: list[list[bytes]], chain_lengths: list[np.ndarray], y: np.ndarray, seed: int) -> Field:

@@ -151,3 +151,27 @@ def test_toxicity(spark, docs, labels):
 def test_toxicity_ignores_held_out_labels(spark, docs, labels):
     flipped = labels.withColumn("toxic", F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, 1 - F.col("toxic")).otherwise(F.col("toxic")))
     assert toxicity.train_rows(docs, labels, "toxic") == toxicity.train_rows(docs, flipped, "toxic")
+
+
+def test_samples_take_an_id_once_however_often_it_is_repeated(spark, docs, labels):
+    from freshet.llm import common
+    many = spark.range(100_000).select(F.lit(7).cast("long").alias("id"), (F.col("id") % 2).cast("int").alias("y"))
+    others = spark.range(1000, 4000).select("id", F.lit(1).alias("y"))
+    got = common.smallest_hashes(many.unionByName(others), "y", F.lit(500)).collect()
+    ids = [r["id"] for r in got if r["y"] == 1]
+    want = others.select("id").orderBy(F.pmod(F.xxhash64("id"), F.lit(1 << 40)), "id").limit(500)
+    assert [r["id"] for r in got if r["y"] == 0] == [7] and len(ids) == len(set(ids)) == 500
+    assert set(ids) == {r["id"] for r in want.collect()}
+    # repeated documents and contradicting labels of sampled ids change neither the samples' bound nor their ids
+    one = labels.filter("toxic = 1").limit(1).select("doc_id")
+    again = docs.join(one, "doc_id").crossJoin(spark.range(300).select("id")).drop("id")
+    other = labels.join(one, "doc_id").withColumn("toxic", F.lit(0)).withColumn("quality", F.lit(0))
+    a = toxicity.train_rows(docs, labels, "toxic")
+    b = toxicity.train_rows(docs.unionByName(again), labels.unionByName(other), "toxic")
+    assert len(a) == len(b)
+    assert langid.train_rows(docs.unionByName(again), 5).count() == langid.train_rows(docs, 5).count()
+
+
+def test_empty_labels_and_documents_give_empty_samples(spark, docs, labels):
+    assert toxicity.train_rows(docs.limit(0), labels, "toxic") == [] and toxicity.train_rows(docs, labels.limit(0), "toxic") == []
+    assert langid.train_rows(docs.limit(0)).count() == 0
