@@ -10,20 +10,24 @@ surrogate is drawn from ``sha2(key | type | normal form | attempt)``:
 * type-consistent: card numbers keep the first digit and their Luhn remainder, IPs stay
   dotted quads, US numbers keep digits 2-9 where they had them, e-mails keep the
   labels' lengths and the top-level domain;
-* gender and script: given names come from a list of the same gender and script, surnames
-  are syllables of the same script;
+* gender and script: given names come from the lists of the same gender and script (``names.py``; pairs of
+  them where the corpus holds most), surnames are made of syllables and a surname's ending of the same script;
 * format: the mention's own punctuation, spacing and case carry the surrogate.
 
 Coreference: equal normal forms get one surrogate in all documents, "Mrs. Ada Moss" and
 "Ms. Moss" and a bare "Moss" of that document share the surname's. Distinctness: over the distinct parts of the corpus a
 surrogate is accepted only if no other part of the type has it and it isn't itself a
 part of the corpus; losers draw again (the collision check, one small join an
-attempt; names and e-mails grow by a syllable, so the loop ends).
+attempt; names and e-mails grow, so the loop ends). A type whose values the corpus nearly exhausts
+(half the attempts failed) settles for surrogates that are distinct, though one may be another entity's real value.
 
 Only parts, mentions and the texts that hold one are shuffled. Documents without
 personal data pass through untouched. A mention that a third of all documents share is
 one row of the map; the join back leaves splitting to AQE.
 
+Long tokens cost time in proportion: patterns repeat classes or possessive groups, which Java runs as
+loops, and a host name has at most 127 labels (its own limit); what follows is no part of an address.
+
 Defined cases: NULL and empty texts stay as they are. Repeated rows give equal rows.
 NULL ids are allowed. An empty table gives no rows. ``replaced`` keeps all other columns.
 Not found: names with neither a form of address nor a listed given name, one-letter names, bare
@@ -35,7 +39,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freshet.llm.common import ready, stored, table, text_key
+from freshet.llm.common import ready, release, stored, table, text_key
 from freshet.llm.names import KNOWN, KNOWN_CYRILLIC
 
 KEY = "freshet"  # the default key; set spark.freshet.surrogate.key to a secret of your own
@@ -47,25 +51,30 @@ TITLES = {
     "f": ("Mrs", "Ms", "Miss", "Madam", "Frau", "Madame", "Mme", "Mlle", "Señora", "Señorita", "Sra", "Srta", "госпожа"),
     "n": ("Dr", "Prof"),
 }
-GIVEN = {
+_FIRST = {
     "m": ("James", "Robert", "Michael", "William", "Richard", "Joseph", "Charles", "Christopher", "Daniel", "Matthew"),
     "f": ("Patricia", "Jennifer", "Elizabeth", "Barbara", "Susan", "Jessica", "Margaret", "Dorothy", "Rebecca", "Catherine"),
     "n": ("Robin", "Jordan", "Taylor", "Morgan", "Casey", "Riley", "Quinn", "Rowan", "Avery", "Sidney"),
 }
-GIVEN_CYRILLIC = {
+_FIRST_CYRILLIC = {
     "m": ("Александр", "Дмитрий", "Сергей", "Михаил", "Николай"),
     "f": ("Анастасия", "Екатерина", "Наталья", "Татьяна", "Светлана"),
     "n": ("Женя", "Саша", "Валя", "Слава", "Шура"),
 }
+# surrogates are drawn from these and all listed names of the gender that no other gender shares
+GIVEN = {g: tuple(dict.fromkeys([*_FIRST[g], *KNOWN[g].split()])) for g in "mfn"}
+GIVEN_CYRILLIC = {g: tuple(dict.fromkeys([*_FIRST_CYRILLIC[g], *KNOWN_CYRILLIC[g].split()])) for g in "mfn"}
+ENDINGS = "son man ton ford well berg ner ley field wood dale more ham lin sen".split()
+ENDINGS_CYRILLIC = {"m": "ов ев ин ский".split(), "f": "ова ева ина ская".split()}
 SYLLABLES = "ba be bi bo bu da de di do du fa fe ga go ha he ka ke ki ko la le li lo lu ma me mi mo na ne ni no pa pe po ra re ri ro sa se si so ta te ti to va ve vi".split()
 SYLLABLES_CYRILLIC = "ба бе би бо ва ве ви га го да де ди до за зе ка ке ко ла ле ли ло ма ме ми мо на не ни но па пе по ра ре ри ро са се со та те ти то".split()
 
 # a name's word: inner capitals, apostrophes and hyphens, all capitals; not the 's of a genitive
 _L = r"[\p{L}\p{M}]"
-_JOINED = rf"(?:['’-](?![sS](?!{_L})){_L}+)"
-_WORD = rf"\p{{Lu}}(?:{_L}+{_JOINED}*|{_JOINED}+)"
+_JOINED = rf"(?:['’-](?![sS](?!{_L})){_L}++)"
+_WORD = rf"\p{{Lu}}(?:{_L}++{_JOINED}*+|{_JOINED}++)"
 _INITIALS = r"(?:\p{Lu}\. ){0,2}"
-EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
+EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++){0,126}\.[A-Za-z]{2,}"
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
 IP = r"(?<![\d.])(?:" + _OCTET + r"\.){3}" + _OCTET + r"(?!\.?\d)"
 PHONE = (r"(?<![\p{L}\d])\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\d)"
@@ -73,7 +82,7 @@ PHONE = (r"(?<![\p{L}\d])\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})[ .-]?\d{3,4}[ .-
 SSN = r"(?<![\p{L}\d-])\d{3}-\d{2}-\d{4}(?![\p{L}\d-])"
 CARD = r"(?<![\p{L}\d])\d(?:[ -]?\d){12,18}(?![\p{L}\d])"
 _TITLES = "|".join(t for g in TITLES.values() for t in g)
-KNOWN_GIVEN = {g: tuple(sorted({*GIVEN[g], *GIVEN_CYRILLIC[g], *KNOWN[g].split(), *KNOWN_CYRILLIC[g].split()})) for g in "mfn"}
+KNOWN_GIVEN = {g: tuple(sorted({*GIVEN[g], *GIVEN_CYRILLIC[g]})) for g in "mfn"}
 
 
 def _trie(words) -> str:
@@ -95,7 +104,7 @@ MAYBE = rf"[0-9@]|(?<!{_L})(?=[\p{{Lu}}г])(?:{_TITLES}|{_GIVEN})[. -]"
 
 
 def _list(values) -> Column:
-    return F.array(*[F.lit(v) for v in values])
+    return F.split(F.lit("|".join(values)), r"\|")  # folded to a constant array
 
 
 def mentions(text: Column) -> Column:
@@ -143,9 +152,13 @@ def _luhn(digits: Column) -> Column:
                        F.lit(0), lambda a, x: a + x) % 10
 
 
-def surrogate(kind: Column, norm: Column, attempt: int, key: str) -> Column:
-    """The normal form's surrogate of one attempt, a function of key, kind, form and attempt alone."""
-    h = F.sha2(F.concat_ws("|", F.lit(key), kind, norm, F.lit(str(attempt))), 512)
+def drawn_hash(kind: Column, norm: Column, attempt: int, key: str) -> Column:
+    """What ``surrogate`` draws from: a function of key, kind, form and attempt alone."""
+    return F.sha2(F.concat_ws("|", F.lit(key), kind, norm, F.lit(str(attempt))), 512)
+
+
+def surrogate(kind: Column, norm: Column, attempt: int, h: Column) -> Column:
+    """The normal form's surrogate of one attempt; ``h``: a column that holds its ``drawn_hash``."""
     draw = lambda i: F.conv(F.substring(h, (i % 42) * 3 + 1, F.lit(3)), 16, 10).cast("int")  # noqa: E731  0..4095
     chars = F.split(norm, "")
     pick = lambda values, n: F.element_at(_list(values), n % len(values) + 1)
@@ -155,10 +168,15 @@ def surrogate(kind: Column, norm: Column, attempt: int, key: str) -> Column:
                         .when(c.rlike(r"\p{L}"), pick(letters, draw(i))).otherwise(c))
     extra = min(max(attempt - 2, 0), 20)
     is_cyrillic = norm.rlike("[Ѐ-ӿ]")
-    made = lambda n: F.when(is_cyrillic, F.concat(*[pick(SYLLABLES_CYRILLIC, draw(F.lit(i))) for i in range(n)])).otherwise(
-        F.concat(*[pick(SYLLABLES, draw(F.lit(i))) for i in range(n)]))
-    head = F.regexp_extract(norm, r"^(.*\.)[^.]*$", 1)
-    mail = F.concat(F.concat(*[pick(SYLLABLES, draw(F.lit(i))) for i in range(extra)]) if extra else F.lit(""), F.array_join(F.transform(F.split(head, ""), one), ""), F.regexp_extract(norm, r"([^.]*)$", 1))
+    made = lambda n, at: F.when(is_cyrillic, F.concat(*[pick(SYLLABLES_CYRILLIC, draw(F.lit(at + i))) for i in range(n)])).otherwise(
+        F.concat(*[pick(SYLLABLES, draw(F.lit(at + i))) for i in range(n)]))
+    woman = norm.rlike("[ая]$")
+    ending = (F.when(is_cyrillic & woman, pick(ENDINGS_CYRILLIC["f"], draw(F.lit(29)))).when(is_cyrillic, pick(ENDINGS_CYRILLIC["m"], draw(F.lit(29))))
+              .otherwise(pick(ENDINGS, draw(F.lit(29)))))
+    surname = F.concat(made(2 + extra, 0), ending)
+    top = F.substring_index(norm, ".", -1)
+    head = norm.substr(F.lit(1), F.length(norm) - F.length(top))
+    mail = F.concat(F.concat(*[pick(SYLLABLES, draw(F.lit(i))) for i in range(extra)]) if extra else F.lit(""), F.array_join(F.transform(F.split(head, ""), one), ""), top)
     ip = F.concat_ws(".", F.lit(1) + draw(F.lit(0)) % 223, draw(F.lit(1)) % 256, draw(F.lit(2)) % 256, F.lit(1) + draw(F.lit(3)) % 254)
     ssn = F.concat(F.format_string("%03d", F.lit(100) + draw(F.lit(0)) % 500), F.format_string("%02d", F.lit(1) + draw(F.lit(1)) % 99),
                    F.format_string("%04d", F.lit(1) + (draw(F.lit(2)) * 4096 + draw(F.lit(3))) % 9999))
@@ -169,10 +187,12 @@ def surrogate(kind: Column, norm: Column, attempt: int, key: str) -> Column:
     card = F.concat(F.array_join(F.transform(F.slice(body, 1, F.size(body) - 1), lambda c: c.cast("string")), ""), last.cast("string"))
     first = F.lit(None).cast("string")
     for g in "mfn":
-        name = F.when(is_cyrillic, pick([x.lower() for x in GIVEN_CYRILLIC[g]], draw(F.lit(30)))).otherwise(pick([x.lower() for x in GIVEN[g]], draw(F.lit(30))))
-        first = F.when(kind == f"given_{g}", F.concat(name, made(extra)) if extra else name).otherwise(first)
+        one_of = lambda i, g=g: F.when(is_cyrillic, pick([x.lower() for x in GIVEN_CYRILLIC[g]], draw(F.lit(i)))).otherwise(
+            pick([x.lower() for x in GIVEN[g]], draw(F.lit(i))))
+        name = one_of(30) if attempt < 4 else F.concat(one_of(30), F.lit("-"), one_of(31))
+        first = F.when(kind == f"given_{g}", F.concat(name, made(attempt - 11, 0)) if attempt >= 12 else name).otherwise(first)
     return (F.when(kind == "email", mail).when(kind == "ip", ip).when(kind == "ssn", ssn).when(kind == "phone", phone)
-            .when(kind == "card", card).when(kind == "surname", made(3 + extra)).otherwise(first))
+            .when(kind == "card", card).when(kind == "surname", surname).otherwise(first))
 
 
 def assign(entities: DataFrame, key: str) -> DataFrame:
@@ -180,7 +200,8 @@ def assign(entities: DataFrame, key: str) -> DataFrame:
     real = entities.select("kind", F.col("norm").alias("sub"))
     done, todo = None, entities
     for attempt in range(ATTEMPTS):
-        drawn = stored(todo.withColumn("sub", surrogate(F.col("kind"), F.col("norm"), attempt, key)), "drawn")
+        hashed = todo.withColumn("__h", drawn_hash(F.col("kind"), F.col("norm"), attempt, key))  # once a form, not once a character
+        drawn = stored(hashed.withColumn("sub", surrogate(F.col("kind"), F.col("norm"), attempt, F.col("__h"))).drop("__h"), "drawn")
         won = drawn.groupBy("kind", "sub").agg(F.min("norm").alias("norm"))
         if attempt < ATTEMPTS // 2:  # a type whose values the corpus nearly exhausts settles for distinct surrogates
             won = won.join(real, ["kind", "sub"], "left_anti")
@@ -195,8 +216,9 @@ def assign(entities: DataFrame, key: str) -> DataFrame:
 
 
 def _cased(raw: Column, sub: Column) -> Column:
+    capital = lambda w: F.concat(F.upper(F.substring(w, 1, 1)), w.substr(F.lit(2), F.length(w)))
     return (F.when((raw == F.upper(raw)) & (raw != F.lower(raw)), F.upper(sub))
-            .when(F.substring(raw, 1, 1) != F.lower(F.substring(raw, 1, 1)), F.concat(F.upper(F.substring(sub, 1, 1)), F.substring(sub, 2, 1_000_000)))
+            .when(F.substring(raw, 1, 1) != F.lower(F.substring(raw, 1, 1)), F.array_join(F.transform(F.split(sub, "-"), capital), "-"))
             .otherwise(sub))
 
 
@@ -232,7 +254,7 @@ def replaced(docs: DataFrame, doc: str = "doc_id", text: str = "text", key: str
     by = stored(mention_map(flat.select("mention").distinct(), key), "surrogates")
     names = F.col("__names")
     longest = F.array_sort(F.map_keys(names), lambda a, b: F.length(b) - F.length(a))
-    bare = F.concat(F.lit(rf"(?<![\p{{L}}\p{{M}}\p{{N}}])(?=\p{{Lu}})(?iu:"), F.replace(F.array_join(longest, "|"), F.lit("'"), F.lit("['’]")),
+    bare = F.concat(F.lit(rf"(?<![\p{{L}}\p{{M}}\p{{N}}])(?=\p{{Lu}})(?iu:"), F.array_join(F.concat(longest, F.transform(F.filter(longest, lambda n: n.contains("'")), lambda n: F.replace(n, F.lit("'"), F.lit("’")))), "|"),
                     F.lit(r")(?![\p{L}\p{M}\p{N}])"))
     subs = (flat.join(by, "mention").groupBy("d", "row_key").agg(
         F.array_sort(F.collect_list(F.struct("i", "surrogate"))).alias("s"), F.map_from_entries(F.collect_set("family")).alias("__names"))
@@ -263,7 +285,7 @@ def replaced(docs: DataFrame, doc: str = "doc_id", text: str = "text", key: str
 
 def replace_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: all documents, personal data replaced, ``n_chars`` brought up to date."""
-    ready(spark)
+    release(ready(spark))
     out = replaced(docs).drop("n_mentions__")
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))

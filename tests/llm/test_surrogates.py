@@ -102,3 +102,33 @@ def test_bare_surnames_follow_their_document(spark):
     assert two.startswith("Moss alone") and three == f"Mr. {m[2]} and {m[2]}"
     rows = surrogates.replaced(spark.createDataFrame([(1, "Mr. Moss and Moss")], SCHEMA), key="k").collect()
     assert rows[0]["n_mentions__"] == 2
+
+
+def test_huge_tokens_neither_overflow_nor_take_long(spark):
+    import time
+    n = 500_000
+    values = ["x a@" + "b." * n + "com y", "x " + "q" * n + "@mail.com y", "Mr. Foo" + "-Bar" * (n // 2) + " left", "Mr. O" + "'a" * (n // 2) + " left",
+              "Mrs. Ada Moss " + "." * n + " Moss", "4" * n, "A" * n, "@" * n, "a@" + "b1." * 50 + "com"]
+    start = time.time()
+    out = texts(spark, *values)
+    assert time.time() - start < 240
+    assert out[0] == values[0] and out[5:8] == values[5:8]  # a host of half a million labels is none
+    assert out[1].startswith("x ") and out[1].endswith(".com y") and len(out[1]) == len(values[1]) and "qqqqqqqqqq" not in out[1]
+    assert len(out[2]) < 60 and "Bar" not in out[2] and len(out[3]) < 60 and out[3].endswith(" left")
+    assert out[4].endswith(" " + out[4].split()[2]) and "Moss" not in out[4] and out[8] != values[8] and out[8].endswith(".com")
+
+
+def test_common_names_get_names(spark):
+    names = ["James", "Robert", "Michael", "William", "Richard", "Joseph", "Charles", "Christopher", "Daniel", "Matthew", "John", "Thomas", "Paul", "Mark", "George"]
+    out = texts(spark, *[f"{n} Smith left" for n in names])
+    given = [re.fullmatch(r"(\w+(?:-\w+)?) \w+ left", t)[1] for t in out]
+    known = {*surrogates.GIVEN["m"]}
+    assert len(set(given)) == len(names) and not set(given) & set(names)
+    assert all(set(g.split("-")) <= known for g in given)
+
+
+def test_email_hosts_match_as_before(spark):
+    old = r"(?<![\w.%+-])[\w.%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
+    values = ["a@b.co-x", "c@d..com", "e@f.com9", "g.h@i.j.org", "k@l", "m@-n-.o-p.qq.r", "s@t.u1.vw.x9"]
+    df = spark.createDataFrame(list(enumerate(values)), SCHEMA).select("doc_id", surrogates.mentions(surrogates.F.col("text")).alias("m"))
+    assert [r["m"] for r in df.orderBy("doc_id").collect()] == [re.findall(old, v) for v in values]
