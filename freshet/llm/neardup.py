@@ -49,7 +49,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from freshet.llm.common import as_bytes, ready, split64, stored, table, text_key
+from freshet.llm.common import as_bytes, ready, release, split64, stored, table, text_key
 
 SYMBOLS = 60
 ERRORS = 1
@@ -62,6 +62,7 @@ BLOCK_CLASSES = 2_048
 GROUPS = 512
 BEST = 4
 FIRST_CHUNKS = 3
+CHUNK_BITS = 5
 LINKS_A_FILE = 1_000_000
 _BLOCK = 2_048
 _CACHE = 200_000
@@ -150,8 +151,9 @@ def sign(docs: DataFrame, shingle: int = SHINGLE, doc: str = "doc_id", text: str
 
 
 def chunk_keys(classes: DataFrame, shape: Layout) -> DataFrame:
-    """(bucket key, chunk, class): every chunk with each one of its symbols left out."""
+    """(bucket key, class): every chunk with each one of its symbols left out; a key's low CHUNK_BITS bits are its chunk."""
     chunks, width = shape.chunks, shape.width
+    low = np.uint64((1 << CHUNK_BITS) - 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -164,13 +166,11 @@ def chunk_keys(classes: DataFrame, shape: Layout) -> DataFrame:
                 for j in range(width):
                     if j != out:
                         packed = packed << np.uint64(16) | sig[:, :, j]
-                keys[:, :, out] = split64(packed) ^ k
-            chunk = np.tile(np.repeat(np.arange(chunks, dtype=np.int32), width), len(sig))
+                keys[:, :, out] = (split64(packed) ^ k) & ~low | np.arange(chunks, dtype=np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys.reshape(-1).view(np.int64)), pa.array(chunk), pa.array(np.repeat(b.column(0).to_numpy(), SYMBOLS))],
-                names=["key", "chunk", "c"])
+                [pa.array(keys.reshape(-1).view(np.int64)), pa.array(np.repeat(b.column(0).to_numpy(), SYMBOLS))], names=["key", "c"])
 
-    return classes.select("c", "signature").mapInArrow(run, "key long, chunk int, c long")
+    return classes.select("c", "signature").mapInArrow(run, "key long, c long")
 
 
 def sketches(texts: DataFrame, classes: DataFrame, shingle: int) -> DataFrame:
@@ -303,31 +303,37 @@ def linked(docs: DataFrame, classes: DataFrame, shingle: int, percent: int, doc:
     rows = docs.select(F.col(doc).cast("long").alias("doc_id"), text_key(text).alias("row_key"), F.col(text).alias("text"))
     texts = stored(rows.join(needed, rows["doc_id"].eqNullSafe(needed["d"]) & (rows["row_key"] == needed["k"]))
                    .groupBy("c", "row_key").agg(F.first("text").alias("text")).select("c", "text"), "texts")
-    label = spark.createDataFrame([], "c long, label long")
+    release(spark)  # the keys' shuffles
     links = spark.createDataFrame([], "c long, p long")
 
-    def apart() -> DataFrame:
-        """(key, chunk, c, label, size) of the buckets that still span several components."""
-        now = members.join(label, "c", "left").select("key", "chunk", "c", F.coalesce("label", "c").alias("label"))
+    def apart(members: DataFrame, label: DataFrame) -> DataFrame:
+        """(key, c, label, size) of the buckets that still span several components; closed ones never open again."""
+        now = members.join(label, "c", "left").select("key", "c", F.coalesce("label", "c").alias("label"))
         open_ = now.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("size")).filter("lo < hi")
         return stored(now.join(open_.select("key", "size"), "key"), "open")
 
-    def merged(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    def merged(pairs: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
         near = stored(within_radius(pairs, classes, percent, shape.radius), "pairs")
         found = links.unionByName(stored(confirmed(near, texts, shingle, percent), "found"))
-        return found, components(found)
-
-    links, label = merged(members.filter("c <> lo").select("c", F.col("lo").alias("p")).distinct())
-    sketch = stored(sketches(texts, classes, shingle), "sketches")
-    now = apart()
+        label = components(found)
+        release(spark, near)
+        return found, label
+
+    links, label = merged(members.filter("c <> lo").select("c", F.col("lo").alias("p")).distinct(), links)
+    now = apart(members.select("key", "c"), label)
+    release(spark, members, label)  # buckets of one component are done: what follows reads the open ones
+    sketch = stored(sketches(texts.join(now.select("c").distinct(), "c", "left_semi"), classes, shingle), "sketches")
     small, large = now.filter(F.col("size") < LARGE_BUCKET), now.filter(F.col("size") >= LARGE_BUCKET)
     other = small.select("key", F.col("c").alias("p"), F.col("label").alias("at"))
     pairs = small.join(other, "key").filter("c < p AND label <> at").select("c", "p").distinct()
-    first = large.filter(F.col("chunk") < FIRST_CHUNKS)
-    links, label = merged(pairs.unionByName(block_pairs(first, sketch, percent, shape.radius, BEST)).distinct())
-    large = apart().filter(F.col("size") >= LARGE_BUCKET)
+    first = large.filter(F.col("key").bitwiseAND(F.lit((1 << CHUNK_BITS) - 1)) < FIRST_CHUNKS)
+    links, label = merged(pairs.unionByName(block_pairs(first, sketch, percent, shape.radius, BEST)).distinct(), links)
+    still = apart(now.select("key", "c"), label)
+    large = still.filter(F.col("size") >= LARGE_BUCKET)
     if not large.isEmpty():
-        links, label = merged(block_pairs(large, sketch, percent, shape.radius, None))
+        old, (links, label) = label, merged(block_pairs(large, sketch, percent, shape.radius, None), links)
+        release(spark, old)
+    release(spark, now, still, sketch, texts, links)
     return label
 
 
@@ -351,7 +357,7 @@ def keep_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     no id last, and one of equal rows. Texts without shingles link with nothing: equal rows of them are
     reduced to one by their id, those without an id all stay.
     """
-    ready(spark)
+    release(ready(spark))
     signed = stored(sign(docs), "signed")
     classes = stored(set_classes(signed).withColumn("c", F.monotonically_increasing_id()), "classes")
     label = linked(docs, classes, SHINGLE, PERCENT, "doc_id", "text")
@@ -364,6 +370,8 @@ def keep_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     known = members.join(first, "component").select("row.doc_id", "row.row_key", (F.col("row") == F.col("first")).alias("stays"), "rows").unionByName(bare)
     touched = stored(known.filter("NOT stays OR rows > 1").select(F.col("doc_id").alias("__id"), F.col("row_key").alias("__key"), "stays"), "touched")
 
+    release(spark, signed, classes, members, label)  # ``touched`` is all that the last join reads beside the documents
+
     def at(rows: DataFrame):
         return F.col("doc_id").cast("long").eqNullSafe(rows["__id"]) & (text_key() == rows["__key"])
 
