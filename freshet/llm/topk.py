@@ -142,10 +142,11 @@ def top_k(candidates: DataFrame, queries: DataFrame, k: int = 20, query_block: i
     spark = candidates.sparkSession
     n_blocks = max(1, -(-queries.count() // query_block))
     part, found = F.pmod(F.xxhash64("vec_id"), F.lit(n_blocks)), None
-    for number in range(n_blocks):
+    for number in range(n_blocks):  # one block at a time is held by the driver and the executors; its results are stored
         rows = sorted((r[0], list(r[1])) for r in queries.filter(part == number).select("vec_id", "v").collect())  # bounded by query_block
         block = spark.sparkContext.broadcast([(i, n, v) for n, (i, v) in enumerate(rows)])
-        here = search_block(candidates, block, k)
+        here = stored(search_block(candidates, block, k), "best")
+        block.destroy()
         found = here if found is None else found.unionByName(here)
     best = Window.partitionBy("query_id", "number").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
