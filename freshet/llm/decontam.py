@@ -37,11 +37,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freshet.llm.common import as_bytes, int_lists, ready, same_row, stored, table, text_key
+from freshet.llm.common import as_bytes, int_lists, ready, release, same_row, stored, table, text_key
 
 WIDTH = 13
 BLOCK_WINDOWS = 50_000
-CHUNK_WORDS = 1 << 20
 
 # word bytes map to themselves (A-Z to a-z), all others to a blank
 _KEEP = bytes(b if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else b + 32 if 0x41 <= b <= 0x5A else 0x20
@@ -254,12 +253,20 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, slo
     part = F.pmod(F.xxhash64("window", "item"), F.lit(n_blocks))
     base, found = None, None
     for k in range(n_blocks):
-        block = Block([tuple(r) for r in windows.filter(part == k).collect()])  # bounded by block_windows
-        index = stored(positional_index(docs, spark.sparkContext.broadcast(block)), "postings")
+        # one block at a time is held by the driver and the executors (bounded by block_windows); its hits are stored
+        block = Block([tuple(r) for r in windows.filter(part == k).collect()])
+        terms = spark.sparkContext.broadcast(block)
+        index = stored(positional_index(docs, terms), "postings")
+        terms.destroy()
         block.rank(term_counts(index, max(len(block.terms), 1)))
-        hits = search(index, spark.sparkContext.broadcast(block), slop)
+        ranked = spark.sparkContext.broadcast(block)
+        hits = stored(search(index, ranked, slop), "hits")
+        ranked.destroy()
         found = hits if found is None else found.unionByName(hits)
-        base = index.select("doc_id", "row_key", "n_words") if base is None else base
+        if base is None:
+            base = index.select("doc_id", "row_key", "n_words")
+        else:
+            release(spark, index)
     hit = F.aggregate(
         F.array_sort(F.flatten(F.collect_list("spans"))),
         F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("reach")),
@@ -278,7 +285,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, slo
 
 def clean_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: the documents that are not contaminated, with all their columns."""
-    ready(spark)
+    release(ready(spark))
     bad = decontaminate(docs, table(spark, sf_dir, "benchmark")).filter("contaminated") \
         .select(F.col("doc_id").alias("__id"), F.col("row_key").alias("__key")).distinct()
     return docs.join(bad, F.col("doc_id").cast("long").eqNullSafe(bad["__id"]) & (text_key() == bad["__key"]), "left_anti")
