@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from freshet.llm.common import ready, split64, stored, table
+from freshet.llm.common import ready, release, split64, stored, table
 
 WEIGHTS = (3.0, 1.0, 2.0)
 SHARE = 1.5
@@ -118,18 +118,36 @@ class Quota:
         return cls(size, target, blocks, epochs * blocks + k, rest - before(k - 1))
 
 
+def draw(count: np.ndarray, room: int, rng: np.random.Generator) -> np.ndarray:
+    """How many of ``room`` slots, drawn from all without replacement, are of each source.
+
+    The sources are drawn one after another, each from those left. The generator's exact draw
+    ends at ``_EXACT_DRAW`` slots; from there on the normal law of the same mean and variance stands
+    for it (rounded, kept within what is possible), which it then differs from by less than 1e-4.
+    """
+    total, out = int(count.sum()), np.zeros_like(count)
+    for i, c in enumerate(count.tolist()):
+        rest = total - c
+        low, high = max(0, room - rest), min(c, room)
+        if low == high:
+            x = low
+        elif total < _EXACT_DRAW:
+            x = int(rng.hypergeometric(c, rest, room))
+        else:
+            share = c / total
+            spread = math.sqrt(room * share * (rest / total) * ((total - room) / (total - 1)))
+            x = min(max(round(rng.normal(room * share, spread)), low), high)
+        out[i], room, total = x, room - x, rest
+    return out
+
+
 def shard_counts(totals: np.ndarray, shards: int, shard_slots: int, shard: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
     """(first slot, slots) of each source in one shard, found by halving the range of shards."""
     lo, hi, first, count = 0, shards, np.zeros_like(totals), totals.copy()
     while hi - lo > 1:
         mid = (lo + hi) // 2
         room = min((mid - lo) * shard_slots, int(count.sum()))
-        if count.sum() < _EXACT_DRAW:
-            left = np.random.default_rng([seed, lo, hi]).multivariate_hypergeometric(count, room, method="marginals")
-        else:  # the draw's spread is below a ten-thousandth there: proportional parts, largest remainders up
-            exact = count * (room / count.sum())
-            left = np.floor(exact).astype(np.int64)
-            left[np.argsort(left - exact, kind="stable")[:room - int(left.sum())]] += 1
+        left = draw(count, room, np.random.default_rng([seed, lo, hi]))
         if shard < mid:
             hi, count = mid, left
         else:
@@ -226,7 +244,7 @@ def mix(docs: DataFrame, doc: str = "doc_id", text: str = "text", source: str =
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline's last stage: every remaining document with the words that the mix takes of it."""
-    ready(spark)
+    release(ready(spark))
     return mix(docs).taken()
 
 

@@ -87,3 +87,25 @@ def test_empty_table_and_extra_columns(spark):
     df = spark.createDataFrame([(1, "a b", "s", 4, 5)], SCHEMA + ", size int, start int")
     assert [tuple(r) for r in mixing.mix(df).taken().collect()] == [(1, 2, "s", 2, 3.0, 3)]
     assert mixing.mix(df.limit(0)).taken().collect() == []
+
+
+def test_shards_are_drawn_at_every_size():
+    import math
+    for totals in (np.array([300, 100, 200]), np.array([3 * 10**9, 10**9, 2 * 10**9, 5]), np.array([0, 7 * 10**12, 1])):
+        shards = -(-int(totals.sum()) // 1024)
+        at = [0, 1, shards // 2, shards - 1] if shards > 4 else range(shards)
+        for shard in at:
+            first, count = mixing.shard_counts(totals, shards, 1024, shard, 3)
+            again = mixing.shard_counts(totals, shards, 1024, shard, 3)
+            assert (first == again[0]).all() and (count == again[1]).all()
+            assert int(count.sum()) == min(1024, int(totals.sum()) - shard * 1024) and (first + count <= totals).all() and (count >= 0).all()
+    # the spread of a large draw is that of drawing without replacement, not that of proportional parts
+    count, room = np.array([3 * 10**9, 10**9, 2 * 10**9]), 10**9
+    drawn = np.array([mixing.draw(count, room, np.random.default_rng(k)) for k in range(400)])
+    assert (drawn.sum(axis=1) == room).all()
+    for i, c in enumerate(count.tolist()):
+        p, n = c / count.sum(), int(count.sum())
+        want = math.sqrt(room * p * (1 - p) * (n - room) / (n - 1))
+        assert abs(drawn[:, i].mean() - room * p) < 5 * want / math.sqrt(400) and 0.8 < drawn[:, i].std() / want < 1.2
+    small = np.array([mixing.draw(np.array([30, 10, 20]), 10, np.random.default_rng(k)) for k in range(2000)])
+    assert abs(small.mean(axis=0) - np.array([5, 10 / 6, 10 / 3])).max() < 0.15 and (small.sum(axis=1) == 10).all()
