@@ -217,17 +217,16 @@ def joined(members: DataFrame, cosine: float, kind: str) -> DataFrame:
 
     sizes = cell_sizes(members).select(F.col("cell").alias("of"), _blocks("homes").cast("int").alias("hb"), _blocks("others").cast("int").alias("ob"))
     rows = members.join(sizes, F.col("cell") == F.col("of"))
-    h = F.xxhash64("c", F.lit(3))
-    homes = rows.filter("home").withColumn("own", F.pmod(h, F.col("hb")).cast("int"))
+    deal = F.xxhash64("c", F.lit(3))
+    own = F.when(F.col("home"), F.pmod(deal, F.col("hb"))).otherwise(-1 - F.pmod(deal, F.greatest("ob", F.lit(1)))).cast("int")
     # home blocks meet each other (i <= j) and, as i, the blocks of replicas (j = -1 - block)
-    pairs = F.transform(F.sequence(F.lit(0), F.col("hb") - 1), lambda k: F.struct(F.least("own", k).alias("i"), F.greatest("own", k).alias("j")))
-    none = F.array().cast("array<struct<i:int,j:int>>")
+    blocks = F.sequence(F.lit(0), F.col("hb") - 1)
+    homes = F.transform(blocks, lambda k: F.struct(F.least("own", k).alias("i"), F.greatest("own", k).alias("j")))
     across = F.when(F.col("ob") > 0, F.transform(F.sequence(F.lit(1), F.greatest("ob", F.lit(1))), lambda k: F.struct(F.col("own").alias("i"), (-k).alias("j"))))
-    homes = homes.select("cell", "c", "w", "home", "v", "own", F.explode(F.concat(pairs, across.otherwise(none))).alias("ij"))
-    others = rows.filter(~F.col("home")).withColumn("own", (-1 - F.pmod(h, F.col("ob"))).cast("int"))
-    others = others.select("cell", "c", "w", "home", "v", "own", F.explode(F.transform(
-        F.sequence(F.lit(0), F.col("hb") - 1), lambda k: F.struct(k.alias("i"), F.col("own").alias("j")))).alias("ij"))
-    return (homes.unionByName(others).select("cell", "ij.i", "ij.j", "own", "c", "w", "home", "v")
+    homes = F.concat(homes, F.coalesce(across, F.array().cast("array<struct<i:int,j:int>>")))
+    others = F.transform(blocks, lambda k: F.struct(k.alias("i"), F.col("own").alias("j")))
+    met = rows.withColumn("own", own).withColumn("ij", F.explode(F.when(F.col("home"), homes).otherwise(others)))
+    return (met.select("cell", "ij.i", "ij.j", "own", "c", "w", "home", "v")
             .groupBy("cell", "i", "j").applyInArrow(compare, "c long, links long, p long"))
 
 
