@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_every_operator_is_registered_once():
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert set(names) == set(registry.QUERIES) and "pipeline" in entry.queries()
     assert set(registry.ORACLE) <= set(names)
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "near_dedup", "decontaminate", "personal_data", "mix_sources"]
