@@ -44,6 +44,8 @@ from freshet.llm.names import KNOWN, KNOWN_CYRILLIC
 
 KEY = "freshet"  # the default key; set spark.freshet.surrogate.key to a secret of your own
 ATTEMPTS = 64
+ROWS_A_FILE = 20_000  # of mentions and their parts: narrow rows under wide expressions, which every partition compiles anew
+SEPARATOR = "\x00"
 
 # fixed values: forms of address and given names by gender, of the scripts covered
 TITLES = {
@@ -111,6 +113,13 @@ def mentions(text: Column) -> Column:
     return F.when(text.rlike(MAYBE), F.regexp_extract_all(text, F.lit(MENTION), F.lit(0))).otherwise(F.array().cast("array<string>"))
 
 
+def gaps_of(text: Column) -> Column:
+    """The texts between the mentions. Spark compiles the pattern of a split anew for each row, but a replacement's only once a task:
+    a text without SEPARATOR is split at it, put in place of the mentions."""
+    marked = F.regexp_replace(text, F.lit(MENTION), F.lit(SEPARATOR))
+    return F.when(text.contains(SEPARATOR), F.split(text, MENTION, -1)).otherwise(F.split(marked, SEPARATOR, -1))
+
+
 def _kind(mention: Column) -> Column:
     whole = lambda p: mention.rlike(f"^(?:{p})$")
     return (F.when(mention.contains("@"), "email").when(whole(IP), "ip").when(whole(SSN), "ssn").when(whole(PHONE), "phone")
@@ -195,8 +204,9 @@ def surrogate(kind: Column, norm: Column, attempt: int, h: Column) -> Column:
             .when(kind == "card", card).when(kind == "surname", surname).otherwise(first))
 
 
-def assign(entities: DataFrame, key: str) -> DataFrame:
-    """(kind, norm, sub): distinct surrogates for distinct entities, none of them an entity itself."""
+def assign(entities: DataFrame, key: str, files: int) -> DataFrame:
+    """(kind, norm, sub): distinct surrogates for distinct entities, none of them an entity itself; ``files``: what they are dealt over."""
+    entities = stored(entities.coalesce(files), "entities")
     real = entities.select("kind", F.col("norm").alias("sub"))
     done, todo = None, entities
     for attempt in range(ATTEMPTS):
@@ -207,9 +217,9 @@ def assign(entities: DataFrame, key: str) -> DataFrame:
             won = won.join(real, ["kind", "sub"], "left_anti")
         if done is not None:
             won = won.join(done.select("kind", "sub"), ["kind", "sub"], "left_anti")
-        won = stored(won.select("kind", "norm", "sub"), "assigned")
+        won = stored(won.select("kind", "norm", "sub").coalesce(files), "assigned")
         done = won if done is None else done.unionByName(won)
-        todo = stored(todo.join(won, ["kind", "norm"], "left_anti"), "collided")
+        todo = stored(todo.join(won, ["kind", "norm"], "left_anti").coalesce(files), "collided")
         if todo.isEmpty():
             return done
     raise RuntimeError(f"{ATTEMPTS} draws left entities without a surrogate of their own")
@@ -233,13 +243,14 @@ def _carried(kind: Column, raw: Column, sub: Column) -> Column:
     return F.when(kind == "title", raw).when(kind.isin("phone", "card", "ssn"), spread).otherwise(_cased(raw, sub))
 
 
-def mention_map(seen: DataFrame, key: str) -> DataFrame:
+def mention_map(seen: DataFrame, key: str, files: int) -> DataFrame:
     """(mention, surrogate, family: normal form and surrogate of its surname) of the distinct mentions."""
-    part = stored(parts(seen), "parts")
-    entity = assign(part.filter("kind <> 'title'").select("kind", "norm").distinct(), key)
+    part = stored(parts(seen.coalesce(files)), "parts")
+    entity = assign(part.filter("kind <> 'title'").select("kind", "norm").distinct(), key, files)
     word = _carried(F.col("kind"), F.col("raw"), F.col("sub"))
-    return (part.join(entity, ["kind", "norm"], "left").groupBy("mention")
-            .agg(F.array_sort(F.collect_list(F.struct("place", word.alias("word")))).alias("w"),
+    return (part.join(entity, ["kind", "norm"], "left").coalesce(files)
+            .select("mention", "place", "kind", "norm", "sub", word.alias("word")).groupBy("mention")
+            .agg(F.array_sort(F.collect_list(F.struct("place", "word"))).alias("w"),
                  F.max(F.when(F.col("kind") == "surname", F.struct("norm", "sub"))).alias("family"))
             .select("mention", "family", F.concat_ws(" ", F.transform("w", lambda x: x["word"])).alias("surrogate")))
 
@@ -251,7 +262,8 @@ def replaced(docs: DataFrame, doc: str = "doc_id", text: str = "text", key: str
         docs.select(F.col(doc).cast("string").alias("d"), text_key(text).alias("row_key"), mentions(F.col(text)).alias("m"))
         .filter(F.size("m") > 0).dropDuplicates(["d", "row_key"]), "mentions")
     flat = found.select("d", "row_key", F.posexplode("m").alias("i", "mention"))
-    by = stored(mention_map(flat.select("mention").distinct(), key), "surrogates")
+    files = 1 + found.agg(F.coalesce(F.sum(F.size("m")), F.lit(0))).first()[0] // ROWS_A_FILE
+    by = stored(mention_map(flat.select("mention").distinct(), key, files), "surrogates")
     names = F.col("__names")
     longest = F.array_sort(F.map_keys(names), lambda a, b: F.length(b) - F.length(a))
     bare = F.concat(F.lit(rf"(?<![\p{{L}}\p{{M}}\p{{N}}])(?=\p{{Lu}})(?iu:"), F.array_join(F.concat(longest, F.transform(F.filter(longest, lambda n: n.contains("'")), lambda n: F.replace(n, F.lit("'"), F.lit("’")))), "|"),
@@ -260,7 +272,7 @@ def replaced(docs: DataFrame, doc: str = "doc_id", text: str = "text", key: str
         F.array_sort(F.collect_list(F.struct("i", "surrogate"))).alias("s"), F.map_from_entries(F.collect_set("family")).alias("__names"))
         .select(F.col("d").alias("__d"), F.col("row_key").alias("__key"), F.transform("s", lambda x: x["surrogate"]).alias("__s"),
                 "__names", F.when(F.size(names) > 0, bare).alias("__bare")))
-    has = F.coalesce(F.size(mentions(F.col(text))) > 0, F.lit(False))
+    has = F.coalesce(F.col(text).rlike(MAYBE) & F.col(text).rlike(MENTION), F.lit(False))
     n = F.lit(0).cast("long").alias("n_mentions__")
 
     def joined(gaps: Column, between: Column) -> Column:
@@ -274,7 +286,7 @@ def replaced(docs: DataFrame, doc: str = "doc_id", text: str = "text", key: str
             joined(F.split(gap, F.col("__bare"), -1), new).alias("text"), F.size(seen).cast("long").alias("n"))).otherwise(
             F.struct(gap.alias("text"), F.lit(0).cast("long").alias("n")))
 
-    gaps = F.transform(F.split(F.col(text), MENTION, -1), surnames)
+    gaps = F.transform(gaps_of(F.col(text)), surnames)
     whole = joined(F.transform(F.col("__gaps"), lambda g: g["text"]), F.col("__s"))
     count = F.size("__s") + F.aggregate("__gaps", F.lit(0).cast("long"), lambda a, g: a + g["n"])
     changed = (docs.filter(has).join(subs, F.col(doc).cast("string").eqNullSafe(F.col("__d")) & (text_key(text) == F.col("__key")))

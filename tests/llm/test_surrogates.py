@@ -132,3 +132,33 @@ def test_email_hosts_match_as_before(spark):
     values = ["a@b.co-x", "c@d..com", "e@f.com9", "g.h@i.j.org", "k@l", "m@-n-.o-p.qq.r", "s@t.u1.vw.x9"]
     df = spark.createDataFrame(list(enumerate(values)), SCHEMA).select("doc_id", surrogates.mentions(surrogates.F.col("text")).alias("m"))
     assert [r["m"] for r in df.orderBy("doc_id").collect()] == [re.findall(old, v) for v in values]
+
+
+def test_gaps_are_what_a_split_leaves(spark):
+    values = ["", "no mention", "25.86.162.211", "a 25.86.162.211 b\0c 1.2.3.4", "\0", "Mr. Moss met a.b@c.io, 25.86.162.211\n", "x\0Mr. Moss", None]
+    df = spark.createDataFrame(list(enumerate(values)), SCHEMA).repartition(1)
+    text = surrogates.F.col("text")
+    got = df.select(surrogates.gaps_of(text).alias("g"), surrogates.F.split(text, surrogates.MENTION, -1).alias("s")).collect()
+    assert [r["g"] for r in got] == [r["s"] for r in got] and max(len(r["g"] or ()) for r in got) == 4
+    assert texts(spark, "a 25.86.162.211 b\0c 25.86.162.211 d")[0].count("\0") == 1
+
+
+def test_small_tables_are_dealt_by_their_rows_not_over_every_shuffle_partition(spark, monkeypatch):
+    from freshet.llm import common
+    made = {}
+
+    def stored(df, what):
+        made[what] = max(made.get(what, 0), df.rdd.getNumPartitions())
+        return common.stored(df, what)
+
+    monkeypatch.setattr(surrogates, "stored", stored)
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "24")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        docs = spark.createDataFrame([(n, f"Mr. Moss at 25.86.{n}.211 or a{n}@b.io") for n in range(40)], SCHEMA)
+        assert surrogates.replaced(docs, key="k").count() == 40
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert {made[k] for k in ("parts", "drawn", "assigned", "collided")} == {1}
