@@ -175,3 +175,14 @@ def test_samples_take_an_id_once_however_often_it_is_repeated(spark, docs, label
 def test_empty_labels_and_documents_give_empty_samples(spark, docs, labels):
     assert toxicity.train_rows(docs.limit(0), labels, "toxic") == [] and toxicity.train_rows(docs, labels.limit(0), "toxic") == []
     assert langid.train_rows(docs.limit(0)).count() == 0
+
+
+def test_sample_counts_ids_in_one_column(spark):
+    from freshet.llm import common
+    from tests.helpers import plan_text
+    ids = spark.createDataFrame([(n % 3000 if n % 7 else None, n % 2) for n in range(6000)], "id long, y int").distinct()
+    got = common.smallest_hashes(ids, "y", F.lit(5_000))
+    assert len(plan_text(got)) < 30_000  # the buffer of 1,639 columns took more than 100,000 characters
+    assert {r["id"] for r in got.collect()} >= {r["id"] for r in ids.collect() if r["id"] is not None}
+    few = common.smallest_hashes(ids, "y", F.lit(50)).groupBy("y").count().collect()
+    assert sorted((r["y"], r["count"]) for r in few) == [(0, 50), (1, 50)]
