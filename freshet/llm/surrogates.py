@@ -268,10 +268,11 @@ def replaced(docs: DataFrame, doc: str = "doc_id", text: str = "text", key: str
     longest = F.array_sort(F.map_keys(names), lambda a, b: F.length(b) - F.length(a))
     bare = F.concat(F.lit(rf"(?<![\p{{L}}\p{{M}}\p{{N}}])(?=\p{{Lu}})(?iu:"), F.array_join(F.concat(longest, F.transform(F.filter(longest, lambda n: n.contains("'")), lambda n: F.replace(n, F.lit("'"), F.lit("’")))), "|"),
                     F.lit(r")(?![\p{L}\p{M}\p{N}])"))
-    subs = (flat.join(by, "mention").groupBy("d", "row_key").agg(
+    subs = stored(flat.join(by, "mention").groupBy("d", "row_key").agg(
         F.array_sort(F.collect_list(F.struct("i", "surrogate"))).alias("s"), F.map_from_entries(F.collect_set("family")).alias("__names"))
         .select(F.col("d").alias("__d"), F.col("row_key").alias("__key"), F.transform("s", lambda x: x["surrogate"]).alias("__s"),
-                "__names", F.when(F.size(names) > 0, bare).alias("__bare")))
+                "__names", F.when(F.size(names) > 0, bare).alias("__bare")), "subs")
+    release(docs.sparkSession, found, by)  # and the driver plans the wide patterns below over one join only
     has = F.coalesce(F.col(text).rlike(MAYBE) & F.col(text).rlike(MENTION), F.lit(False))
     n = F.lit(0).cast("long").alias("n_mentions__")
 
