@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from py4j.protocol import Py4JError
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -67,6 +68,7 @@ def stored(df: DataFrame, what: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    give_back(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -76,12 +78,34 @@ def release(spark: SparkSession, *tables: DataFrame) -> None:
     Spark removes the shuffle files and broadcasts of a finished job from all executors when the driver's
     garbage collector meets the objects that stood for them; a driver with little to do may not run
     it for long, so disks keep the files of every step. Only call it on tables whose successors are written.
+    What the driver has freed outside its heap goes back to the system as well (``give_back``).
     """
     for t in tables:
         for folder in {f.rsplit("/", 1)[0] for f in t.inputFiles()}:
             path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
             path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
     spark.sparkContext._jvm.System.gc()
+    give_back(spark)
+
+
+def give_back(spark: SparkSession) -> bool:
+    """Return to the system what the driver's JVM has freed outside its heap; False where the JVM can't.
+
+    Compilers and threads free what they took, but the C library keeps it for each of them, so a driver that
+    plans many queries holds ever more. OpenJDK from 17.0.9 on has a diagnostic command for it.
+    """
+    jvm, array = spark.sparkContext._jvm, spark.sparkContext._gateway.new_array
+    name = jvm.java.lang.Class.forName
+    kinds, given = array(jvm.java.lang.Class, 4), array(jvm.java.lang.Object, 4)
+    for k, kind in enumerate(("javax.management.ObjectName", "java.lang.String", "[Ljava.lang.Object;", "[Ljava.lang.String;")):
+        kinds[k] = name(kind)
+    try:  # the server's own class is not open to Py4J, the interface is
+        given[0], given[1] = jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand"), "systemTrimNativeHeap"
+        server = jvm.java.lang.management.ManagementFactory.getPlatformMBeanServer()
+        name("javax.management.MBeanServer").getMethod("invoke", kinds).invoke(server, given)
+    except Py4JError:
+        return False
+    return True
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freshet.llm.common import as_bytes, chunks_of, crc_mod, ready, smallest_hashes, table
+from freshet.llm.common import as_bytes, chunks_of, crc_mod, ready, release, smallest_hashes, table
 
 BUCKETS = 1 << 15
 DIM = 16
@@ -188,7 +188,7 @@ def identify(docs: DataFrame, model: LangModel, doc: str = "doc_id", text: str =
 
 def keep_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: the documents whose language is not rejected, with all their columns."""
-    ready(spark)
+    release(ready(spark))
     held, at = spark.sparkContext.broadcast(fit(docs)), docs.columns.index("text")
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
