@@ -297,13 +297,16 @@ def linked(docs: DataFrame, classes: DataFrame, shingle: int, percent: int, doc:
     """(c, label): the smallest ``c`` reachable from each class that has a link; ``classes`` has a key ``c``."""
     spark, shape = docs.sparkSession, layout(percent)
     keys = chunk_keys(classes, shape)
-    shared = keys.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("key", "lo")
+    # each of the next steps shuffles as much as all keys or texts: none keeps its files while the next one runs
+    shared = stored(keys.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("key", "lo"), "shared")
+    release(spark)
     members = stored(keys.join(shared, "key"), "members")
+    release(spark, shared)
     needed = members.select("c").distinct().join(classes.select("c", F.col("doc_id").alias("d"), F.col("row_key").alias("k")), "c")
     rows = docs.select(F.col(doc).cast("long").alias("doc_id"), text_key(text).alias("row_key"), F.col(text).alias("text"))
     texts = stored(rows.join(needed, rows["doc_id"].eqNullSafe(needed["d"]) & (rows["row_key"] == needed["k"]))
                    .groupBy("c", "row_key").agg(F.first("text").alias("text")).select("c", "text"), "texts")
-    release(spark)  # the keys' shuffles
+    release(spark)
     links = spark.createDataFrame([], "c long, p long")
 
     def apart(members: DataFrame, label: DataFrame) -> DataFrame:
